@@ -1,22 +1,36 @@
 """Whole-text encoding with the tokenizers library, remembered piece by piece.
 
 Both vocabularies split a text before merging, and a single space followed by a non-space always ends a split. So a text
-encodes as the concatenation of its space-separated pieces, each of which the library encodes once and a bounded memo
-keeps as packed ids. A piece whose split could depend on its neighbours (an empty one, or one that starts with other
-white space) sends its whole text to the library instead.
+encodes as the concatenation of pieces, which bounded memos keep as packed ids, and the library meets few strings twice.
+
+Most texts are cut by string replacement alone: at single spaces, before a comma or full stop that ends a piece, and around a line
+feed after a full stop. Each piece must then end in a letter or digit, which is where the split pattern certainly cuts too. A text
+with any other piece is cut at spaces, and a piece further only between letters and the punctuation after them; a piece whose
+split could depend on its neighbours (an empty one, or one that starts with other white space) sends its text to the library whole.
+Words that are new to a group of texts are encoded together; until then, holes stand for their ids.
 """
 
 from __future__ import annotations
 
 import os
+import string
 import struct
+import unicodedata
+from collections.abc import Iterator
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
+import numpy as np  # noqa: E402
 from tokenizers import Tokenizer  # noqa: E402
 
-#: Pieces remembered by one Python worker before it starts afresh.
-MEMO_PIECES = 500_000
+#: Strings that one Python worker remembers per generation, pieces and words apart; there are two generations of each.
+MEMO_PIECES, MEMO_WORDS = 100_000, 300_000
+#: Texts cut together.
+GROUP = 500
+
+_CUT = "\x01"
+#: What the cuts must not meet: their own mark, runs of the punctuation they cut before, and empty lines.
+_UNSURE = (_CUT, ",,", "..", ".,", ",.", "\n\n")
 
 _loaded: dict[tuple[str, bool], "PieceEncoder"] = {}
 
@@ -30,28 +44,40 @@ def encoder(path: str, space_joins: bool) -> "PieceEncoder":
 
 
 class _Memo(dict):
-    def __init__(self, encode, prefix: str, strict: bool):
+    """Bounded: a full generation becomes the old one, from which strings that are met again come back."""
+
+    def __init__(self, make, most: int):
         super().__init__()
-        self.encode, self.prefix, self.strict = encode, prefix, strict
-
-    def __missing__(self, piece: str):
-        if self.strict and (not piece or piece[0].isspace()):
-            packed = None
-        else:
-            packed = self.encode(self.prefix + piece)
-        if len(self) >= MEMO_PIECES:
+        self.make, self.most, self.old, self.failed = make, most, {}, False
+
+    def __missing__(self, key: str):
+        made = self.old.get(key)
+        if made is None and (made := self.make(key)) is None:
+            self.failed = True
+            return b""
+        self[key] = made
+        return made
+
+    def turn(self) -> None:
+        if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        self[piece] = packed
-        return packed
 
 
 class PieceEncoder:
-    """``space_joins``: a space belongs to the word after it (byte-level); otherwise white space is dropped."""
+    """``space_joins``: a space belongs to the word after it (byte-level); otherwise white space and case are dropped."""
 
     def __init__(self, path: str, space_joins: bool):
         self.tokenizer = Tokenizer.from_file(path)
-        self.space_joins = space_joins
-        self.rest = _Memo(self.whole, " " if space_joins else "", space_joins)
+        self.space_joins, self.lead = space_joins, " " if space_joins else ""
+        self.words = _Memo(self._cut_piece, MEMO_WORDS)
+        self.pieces = _Memo(self._piece, MEMO_PIECES)
+        self.waiting: list[str] = []
+        self.holes: list[bytearray] = []
+        self.joins: list[tuple[bytearray, list]] = []
+        named = self.tokenizer.get_vocab()
+        self.marked = np.zeros(max(named.values()) + 1, bool)
+        self.marked[[i for token, i in named.items() if (token.startswith("Ġ") if space_joins else token.endswith("</w>"))]] = True
 
     @property
     def vocabulary(self) -> int:
@@ -61,14 +87,89 @@ class PieceEncoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def packed(self, text: str) -> bytes:
-        """The ids of a text as little-endian unsigned 32-bit integers."""
+    def _cut_piece(self, piece: str) -> bytes | bytearray | None:
+        """None for a piece that may not be one; a plain word gets a hole that ``_learn`` fills."""
+        bare = piece[1:] if self.space_joins and piece[:1] == " " else piece
+        if bare.isalpha() and (len(bare) < len(piece) or not self.space_joins):
+            self.waiting.append(piece)
+            self.holes.append(hole := bytearray())
+            return hole
+        sure = piece in ("", ",", ".", "\n") or bare and not bare[0].isspace() and bare[-1].isalnum()
+        return self.whole(piece) if sure else None
+
+    def _cuts(self, text: str) -> list[str] | None:
+        """The pieces by replacement; None where only the slower cut can tell."""
+        if any(map(text.__contains__, _UNSURE)):
+            return None
+        if not self.space_joins:
+            if not text.isascii() and ("Σ" in text or "İ" in text or not unicodedata.is_normalized("NFC", text)):
+                return None  # case or composition may depend on neighbours
+            text = text.lower()
+        cut = text.replace(" ", _CUT + self.lead) + _CUT
+        cut = cut.replace("," + _CUT, f"{_CUT},{_CUT}").replace("." + _CUT, f"{_CUT}.{_CUT}").replace(".\n", f"{_CUT}.{_CUT}\n{_CUT}")
+        return cut.split(_CUT)
+
+    def _piece(self, piece: str) -> bytes | bytearray | None:
+        """A space-separated piece; letters and then ASCII punctuation are two splits, all else is the library's."""
+        if not piece or piece[0].isspace():
+            return None if self.space_joins else self.whole(piece)
+        core = piece.rstrip(string.punctuation)
+        if not self.space_joins and core.isascii():
+            core, piece = core.lower(), piece.lower() if piece.isascii() else piece
+        if not core.isalpha() or (not self.space_joins and core.lower() != core):
+            return self.whole(self.lead + piece)
+        if len(core) == len(piece):
+            return self.words[self.lead + core]
+        hole = bytearray()
+        self.joins.append((hole, [self.words[self.lead + core], self.whole(piece[len(core) :])]))
+        return hole
+
+    def _learn(self) -> None:
+        """Encode the words that wait, many at a time, and tell their ids apart by the marks of a word's first or last token."""
+        words, holes, self.waiting, self.holes = self.waiting, self.holes, [], []
+        for a in range(0, len(words), 2000):
+            part = words[a : a + 2000]
+            joined = "".join(part) if self.space_joins else " ".join(part)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            marks = np.flatnonzero(self.marked[ids])
+            ends = np.append(marks[1:], len(ids)) if self.space_joins else marks + 1
+            if len(ends) == len(part):
+                raw, at = ids.tobytes(), 0
+                for word, hole, end in zip(part, holes[a : a + 2000], (4 * ends).tolist(), strict=True):
+                    hole += raw[at:end]
+                    self.words[word] = raw[at:end]
+                    at = end
+            else:
+                for word, hole in zip(part, holes[a : a + 2000], strict=True):
+                    hole += self.whole(word)
+        joins, self.joins = self.joins, []
+        for hole, parts in joins:
+            hole += b"".join(parts)
+        self.words.turn()
+        self.pieces.turn()
+
+    def _values(self, text: str) -> list | None:
+        """The memos' values for the pieces of a text; None if it must be encoded whole."""
+        pieces = self._cuts(text)
+        if pieces is not None:
+            self.words.failed = False
+            values = list(map(self.words.__getitem__, pieces))
+            if not self.words.failed:
+                return values
+        head, _, rest = text.partition(" ")
         if not self.space_joins:
-            return b"".join(map(self.rest.__getitem__, text.split(" ")))
-        first, _, after = text.partition(" ")
-        if not after or not first:
-            return self.whole(text) if text else b""
-        try:
-            return self.whole(first) + b"".join(map(self.rest.__getitem__, after.split(" ")))
-        except TypeError:  # a piece that needs its neighbours
-            return self.whole(text)
+            return list(map(self.pieces.__getitem__, text.split(" ")))
+        if not head or not rest:
+            return None
+        self.pieces.failed = False
+        values = [self.whole(head), *map(self.pieces.__getitem__, rest.split(" "))]
+        return None if self.pieces.failed else values
+
+    def packed_all(self, texts: list[str]) -> Iterator[bytes]:
+        """Per text its ids as little-endian unsigned 32-bit integers."""
+        for a in range(0, len(texts), GROUP):
+            part = texts[a : a + GROUP]
+            found = [self._values(t) for t in part]
+            self._learn()
+            for text, values in zip(part, found, strict=True):
+                yield self.whole(text) if values is None else b"".join(values)

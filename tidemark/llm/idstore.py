@@ -184,9 +184,9 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, space_joins:
             out, shard = None, shard + 1
 
         for batch in batches:
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+            for key, ids in zip(batch.column("doc_id").to_pylist(), enc.packed_all(batch.column("text").to_pylist()), strict=True):
                 out = out or ShardWriter(f"{root}/part-{part:06d}-{shard:05d}", width)
-                out.add(key, enc.packed(text.as_py()) + end)
+                out.add(key, ids + end)
                 if out.ids >= SHARD_IDS or len(out.keys) >= SHARD_DOCS:
                     close()
         if out:

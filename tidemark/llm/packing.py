@@ -26,15 +26,24 @@ from tidemark.llm.common import documents, text_of
 
 WINDOW = 2048
 SHARD_IDS = 3_000_000
-QUERY_TERMS = 24
+QUERY_TERMS = 16
 K1, B = 1.2, 0.75
 
 
+def _counted(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct ids and how often each is there."""
+    if len(ids) and ids.max() < 1 << 16:  # 16-bit keys sort by radix
+        ids = ids.astype(np.uint16)
+    ids = np.sort(ids, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+    return ids[first], np.diff(np.append(first, len(ids)))
+
+
 class Index:
     """BM25 postings of one shard, by term."""
 
     def __init__(self, docs: list[np.ndarray]):
-        found = [np.unique(d, return_counts=True) for d in docs]
+        found = [_counted(d) for d in docs]
         self.n = len(docs)
         sizes = np.array([len(d) for d in docs], np.float32)
         owner = np.repeat(np.arange(self.n, dtype=np.int32), [len(t) for t, _ in found])
@@ -153,8 +162,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in list(zip(cols, kinds, strict=True))[: 7 + with_ids]], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"][: 7 + with_ids])
 
         for batch in batches:
-            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                docs.append((key, enc.packed(text.as_py()) + end))
+            for key, ids in zip(batch.column("doc_id").to_pylist(), enc.packed_all(batch.column("text").to_pylist()), strict=True):
+                docs.append((key, ids + end))
                 held += len(docs[-1][1]) // 4
                 if held >= SHARD_IDS:
                     yield table(list(packer.shard(docs)))
