@@ -1,4 +1,507 @@
-"""Every registered query with the SQL it is held against."""
+"""Every registered query of the engine, with the SQL it is held against.
 
-QUERIES: dict = {}
-SQL: dict = {}
+Queries run whole tables of the driver's star schema through the engine's operators. Days are compared as text and doubles
+rounded where two engines may add in another order.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidemark.functions import scalars
+from tidemark.operators import diff, facts, flags, folds, matching, pit, quality
+from tidemark.plans import streams
+from tidemark.plans.streams import table
+from tidemark.sources import scans
+
+QUERIES: dict[str, Callable] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def register(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def day(c: str):
+    return F.date_format(c, "yyyy-MM-dd").alias(c.split(".")[-1])
+
+
+# --- point in time -------------------------------------------------------------------------------------------------
+
+_STREAM = f"""
+t AS (SELECT user_id, CAST(ts AS DATE) AS date, event_id AS seq, CASE WHEN event_type <> 'error' THEN event_type END AS post FROM events),
+tr AS (SELECT *, lag(post) OVER (PARTITION BY user_id ORDER BY seq) AS pre FROM t),
+lg AS (SELECT * FROM tr WHERE pre IS DISTINCT FROM post AND date >= DATE '{streams.LOG_START}'),
+cur AS (SELECT user_id, arg_max(coalesce(post, ''), seq) AS record FROM tr GROUP BY user_id)
+"""
+_INTERVALS = f"""
+{_STREAM},
+d AS (SELECT DISTINCT user_id, date FROM lg UNION SELECT DISTINCT user_id, DATE '{streams.BOUNDARY}' FROM tr),
+st AS (
+  SELECT d.user_id, d.date, coalesce(
+    (SELECT arg_min(coalesce(l.pre, ''), l.seq) FROM lg l WHERE l.user_id = d.user_id AND l.date > d.date),
+    (SELECT record FROM cur c WHERE c.user_id = d.user_id)) AS state FROM d),
+ch AS (SELECT *, lag(state) OVER (PARTITION BY user_id ORDER BY date) AS was FROM st),
+tu AS (SELECT user_id, state, date AS valid_from, lead(date) OVER (PARTITION BY user_id ORDER BY date) AS valid_to FROM ch WHERE was IS NULL OR was <> state),
+iv AS (SELECT user_id, state, valid_from, valid_to, valid_from <> DATE '{streams.BOUNDARY}' AS provable_from FROM tu WHERE state <> '')
+"""
+
+
+def _parts(spark, sf_dir):
+    rows = streams.transitions(spark, sf_dir)
+    return streams.current(rows), streams.log(rows)
+
+
+def _intervals(spark, sf_dir) -> DataFrame:
+    now, log = _parts(spark, sf_dir)
+    return pit.build_intervals(now, log, ["user_id"], streams.BOUNDARY)
+
+
+@query(f"WITH {_INTERVALS} SELECT user_id, state, CAST(valid_from AS VARCHAR) AS valid_from, CAST(valid_to AS VARCHAR) AS valid_to, provable_from FROM iv")
+def pit_intervals(spark, sf_dir):
+    return _intervals(spark, sf_dir).select("user_id", F.col("record").alias("state"), day("valid_from"), day("valid_to"), "provable_from")
+
+
+@query(f"WITH {_INTERVALS} SELECT user_id, state FROM iv WHERE valid_from <= DATE '{streams.AS_OF}' AND (valid_to IS NULL OR DATE '{streams.AS_OF}' < valid_to)")
+def pit_asof(spark, sf_dir):
+    return pit.as_of(_intervals(spark, sf_dir), streams.AS_OF, streams.BOUNDARY).select("user_id", F.col("record").alias("state"))
+
+
+@query(f"""WITH {_STREAM}, r AS (
+  SELECT c.user_id, coalesce((SELECT arg_min(coalesce(l.pre, ''), l.seq) FROM lg l WHERE l.user_id = c.user_id AND l.date > DATE '{streams.AS_OF}'), c.record) AS state FROM cur c)
+SELECT user_id, state FROM r WHERE state <> ''""")
+def pit_members_replay(spark, sf_dir):
+    now, log = _parts(spark, sf_dir)
+    return pit.members_asof(now, log, ["user_id"], streams.AS_OF).select("user_id", F.col("record").alias("state"))
+
+
+_DAYS = ("2024-01-07", "2024-01-08", "2024-01-15", "2024-01-22", "2024-01-30")
+
+
+@query(f"""WITH {_INTERVALS}, q AS (SELECT CAST(unnest([{", ".join(f"'{d}'" for d in _DAYS)}]) AS DATE) AS d)
+SELECT CAST(d AS VARCHAR) AS day, CAST(count(iv.user_id) AS BIGINT) AS members, CAST(0 AS BIGINT) AS mismatches
+FROM q LEFT JOIN iv ON valid_from <= d AND (valid_to IS NULL OR d < valid_to) GROUP BY d""")
+def pit_equivalence(spark, sf_dir):
+    """Slicing the intervals and undoing the log must agree on every day."""
+    now, log = _parts(spark, sf_dir)
+    intervals, out = _intervals(spark, sf_dir), None
+    for d in _DAYS:
+        sliced = pit.as_of(intervals, d).select("user_id", F.col("record").alias("s"))
+        replayed = pit.members_asof(now, log, ["user_id"], d).select("user_id", F.col("record").alias("r"))
+        both = sliced.join(replayed, "user_id", "full_outer").agg(F.count("s").alias("members"), F.count_if(~F.col("s").eqNullSafe(F.col("r"))).alias("mismatches"))
+        one = both.select(F.lit(d).alias("day"), "members", "mismatches")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query(f"""WITH {_INTERVALS} SELECT e.event_id, iv.state FROM events e JOIN iv ON e.user_id = iv.user_id
+AND iv.valid_from <= CAST(e.ts AS DATE) AND (iv.valid_to IS NULL OR CAST(e.ts AS DATE) < iv.valid_to) WHERE e.event_type = 'purchase'""")
+def pit_fact_join(spark, sf_dir):
+    bought = table(spark, sf_dir, "events").filter("event_type = 'purchase'").select("event_id", "user_id", F.to_date("ts").alias("d"))
+    return pit.join_as_of(bought, _intervals(spark, sf_dir), ["user_id"], "d").select("event_id", F.col("record").alias("state"))
+
+
+@query(f"""SELECT event_type AS source, CAST(greatest(min(CAST(ts AS DATE)) + 3, (SELECT min(CAST(ts AS DATE)) - 1 FROM events WHERE ts >= TIMESTAMP '{streams.LOG_START}')) AS VARCHAR) AS floor
+FROM events GROUP BY event_type""")
+def source_floor(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select(F.col("event_type").alias("source"), F.to_date("ts").alias("date"))
+    seen = e.groupBy("source").agg(F.date_add(F.min("date"), 3).alias("first_observed"))
+    return pit.source_floors(e.filter(F.col("date") >= F.lit(streams.LOG_START)), seen).select("source", day("floor"))
+
+
+@query("""WITH e AS (SELECT CASE WHEN event_id % 97 = 0 THEN NULL ELSE CAST(ts AS DATE) END AS date, CASE event_type WHEN 'view' THEN 'added' WHEN 'click' THEN 'removed'
+  WHEN 'error' THEN 'lost' ELSE 'changed' END AS event, CASE WHEN event_id % 89 <> 0 THEN event_type END AS previous FROM events)
+SELECT CAST(count(*) FILTER (date IS NULL) AS BIGINT) AS bad_date, CAST(count(*) FILTER (event NOT IN ('added', 'removed', 'changed')) AS BIGINT) AS bad_kind,
+CAST(count(*) FILTER (event = 'changed' AND previous IS NULL) AS BIGINT) AS no_previous FROM e""")
+def validate_events(spark, sf_dir):
+    kind = F.when(F.col("event_type") == "view", "added").when(F.col("event_type") == "click", "removed").when(F.col("event_type") == "error", "lost").otherwise("changed")
+    rows = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_id") % 97 != 0, F.to_date("ts")).alias("date"), kind.alias("event"), F.when(F.col("event_id") % 89 != 0, F.col("event_type")).alias("previous")
+    )
+    return pit.violations(rows)
+
+
+# --- snapshots and logs --------------------------------------------------------------------------------------------
+
+
+@query("""WITH p AS (SELECT c_custkey AS k, c_mktsegment AS s FROM customer WHERE c_custkey % 7 <> 0),
+n AS (SELECT c_custkey AS k, CASE WHEN c_custkey % 5 = 0 THEN 'moved' ELSE c_mktsegment END AS s FROM customer WHERE c_custkey % 11 <> 0)
+SELECT CASE WHEN p.k IS NULL THEN 'added' WHEN n.k IS NULL THEN 'removed' ELSE 'changed' END AS event, coalesce(n.k, p.k) AS custkey,
+coalesce(n.s, p.s) AS segment, CASE WHEN p.k IS NOT NULL AND n.k IS NOT NULL THEN p.s END AS previous_segment
+FROM p FULL OUTER JOIN n ON p.k = n.k WHERE p.k IS NULL OR n.k IS NULL OR p.s <> n.s""")
+def snapshot_diff(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("segment"))
+    new = c.filter("custkey % 11 <> 0").withColumn("segment", F.when(F.col("custkey") % 5 == 0, "moved").otherwise(F.col("segment")))
+    found = diff.snapshot_diff(c.filter("custkey % 7 <> 0"), new, ["custkey"], "customer", "2024-01-31")
+    return found.select("event", "record.custkey", "record.segment", F.col("previous.segment").alias("previous_segment"))
+
+
+@query("""SELECT l_orderkey, l_linenumber, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber DESC, l_extendedprice DESC) AS n FROM lineitem) WHERE n = 1""")
+def dup_key_last_wins(spark, sf_dir):
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_extendedprice")
+    return diff.last_wins(rows, ["l_orderkey"], ["l_linenumber", "l_extendedprice"])
+
+
+@query("""SELECT user_id, event_id, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events) WHERE b IS DISTINCT FROM event_type""")
+def append_dedupe_latest(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
+    return diff.without_repeats(rows, ["user_id"], ["event_id"], ["event_type"])
+
+
+@query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
+def first_seen_dedupe(spark, sf_dir):
+    return diff.first_wins(table(spark, sf_dir, "events").select("user_id", "event_type", "event_id"), ["user_id", "event_type"], ["event_id"])
+
+
+@query("SELECT user_id, min(event_id) AS first_seen FROM events GROUP BY user_id ORDER BY first_seen LIMIT 50")
+def first_seen_limit(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_id").alias("first_seen")).orderBy("first_seen").limit(50)
+
+
+@query("""SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND extract(isoyear FROM ts) = 2024 AND extract(week FROM ts) = 2)""")
+def progress_anti(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    done = e.filter("event_type = 'purchase'").select(F.col("user_id").alias("cik"), scalars.iso_week(F.to_date("ts")).alias("week")).distinct()
+    everyone = e.select(F.col("user_id").alias("cik")).distinct()
+    return flags.pending(everyone, done, "2024-01-10").select(F.col("cik").alias("user_id"))
+
+
+@query("""SELECT e AS event_type FROM (SELECT unnest(['view', 'signup', 'refund', 'click', 'chargeback']) AS e) WHERE e NOT IN (SELECT event_type FROM events)""")
+def never_succeeded(spark, sf_dir):
+    expected = spark.createDataFrame([(t,) for t in ("view", "signup", "refund", "click", "chargeback")], "event_type string")
+    return quality.never_succeeded(expected, table(spark, sf_dir, "events"), "event_type")
+
+
+@query("""SELECT event_type AS source, CAST(max(CAST(ts AS DATE)) AS VARCHAR) AS last_success, date_diff('day', max(CAST(ts AS DATE)), DATE '2024-02-05') > 5 + 2 AS stale FROM events
+WHERE event_type <> 'error' OR ts < TIMESTAMP '2024-01-20' GROUP BY event_type""")
+def watermark_staleness(spark, sf_dir):
+    e = table(spark, sf_dir, "events").filter("event_type <> 'error' OR ts < TIMESTAMP_NTZ '2024-01-20 00:00:00'")
+    marks = e.groupBy(F.col("event_type").alias("source")).agg(F.max(F.to_date("ts")).alias("last_success"))
+    return quality.stale_sources(marks, "2024-02-05", 5).select("source", day("last_success"), "stale")
+
+
+# --- matching ------------------------------------------------------------------------------------------------------
+
+
+@query("""WITH g AS (SELECT user_id, event_type, ts, CASE WHEN date_diff('second', lag(ts) OVER w, ts) <= 43200 THEN 0 ELSE 1 END AS s FROM events WINDOW w AS (PARTITION BY user_id, event_type ORDER BY ts)),
+n AS (SELECT *, sum(s) OVER (PARTITION BY user_id, event_type ORDER BY ts) AS g FROM g)
+SELECT user_id, event_type, CAST(g AS BIGINT) AS group_no, CAST(count(*) AS BIGINT) AS n, CAST(CAST(min(ts) AS DATE) AS VARCHAR) AS first_day, CAST(CAST(max(ts) AS DATE) AS VARCHAR) AS last_day FROM n GROUP BY ALL""")
+def split_clusters(spark, sf_dir):
+    e = table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
+    far = F.unix_timestamp(F.col("ts").cast("timestamp")) - F.unix_timestamp(F.col("__prev").cast("timestamp")) > 43200
+    numbered = folds.chained_groups(e, ["user_id", "event_type"], "ts", far)
+    grouped = numbered.groupBy("user_id", "event_type", "group_no").agg(F.count("*").alias("n"), F.to_date(F.min("ts")).alias("first_day"), F.to_date(F.max("ts")).alias("last_day"))
+    return grouped.select("user_id", "event_type", "group_no", "n", day("first_day"), day("last_day"))
+
+
+_SECONDS = "epoch_ms({}) // 1000"
+
+
+def _timed(spark, sf_dir, kind: str) -> DataFrame:
+    e = table(spark, sf_dir, "events").filter(F.col("event_type") == kind)
+    return e.select("user_id", "event_id", "value", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"))
+
+
+_VIEWS = f"v AS (SELECT user_id, {_SECONDS.format('ts')} AS t, min(value) AS value FROM events WHERE event_type = 'view' GROUP BY ALL), p AS (SELECT user_id, event_id, {_SECONDS.format('ts')} AS t FROM events WHERE event_type = 'purchase')"
+
+
+@query(f"""WITH {_VIEWS}, c AS (SELECT p.event_id, v.t AS at, v.value, row_number() OVER (PARTITION BY p.event_id ORDER BY abs(v.t - p.t), v.t) AS n FROM p JOIN v ON p.user_id = v.user_id AND abs(v.t - p.t) <= 21600)
+SELECT p.event_id, coalesce(c.at, -1) AS matched_at, c.value AS matched_value FROM p LEFT JOIN c ON p.event_id = c.event_id AND c.n = 1""")
+def nearest_asof(spark, sf_dir):
+    found = matching.nearest(_timed(spark, sf_dir, "purchase").drop("value"), _timed(spark, sf_dir, "view"), ["user_id"], "t", "t", "value", 21600, lambda a, b: F.abs(a - b))
+    return found.select("event_id", F.coalesce("match.at", F.lit(-1).cast("long")).alias("matched_at"), F.col("match.value").alias("matched_value"))
+
+
+@query(f"""WITH {_VIEWS}, b AS (SELECT p.event_id, arg_max(v.value, v.t) AS before FROM p JOIN v ON p.user_id = v.user_id AND v.t <= p.t - 3600 GROUP BY 1),
+a AS (SELECT p.event_id, arg_min(v.value, v.t) AS after FROM p JOIN v ON p.user_id = v.user_id AND v.t >= p.t + 3600 GROUP BY 1),
+r AS (SELECT p.event_id, CASE p.event_id % 3 WHEN 0 THEN 0.25 WHEN 1 THEN 2.0 ELSE 8.0 END::DOUBLE AS ratio, before, after FROM p LEFT JOIN b USING (event_id) LEFT JOIN a USING (event_id))
+SELECT event_id, CASE WHEN before > 0 AND after > 0 AND abs(ln(after / before * ratio)) < abs(ln(after / before / ratio)) - ln(2.0) THEN 1 / ratio ELSE ratio END AS ratio FROM r""")
+def split_direction(spark, sf_dir):
+    bought = _timed(spark, sf_dir, "purchase").drop("value").withColumn("ratio", F.when(F.col("event_id") % 3 == 0, 0.25).when(F.col("event_id") % 3 == 1, 2.0).otherwise(8.0))
+    found = matching.neighbours(bought, _timed(spark, sf_dir, "view"), ["user_id"], "t", "t", "value", shift=(lambda t: t - 3600, lambda t: t + 3600))
+    return found.select("event_id", scalars.corrected_ratio(F.col("ratio"), F.col("before.value"), F.col("after.value")).alias("ratio"))
+
+
+_RATIO = "CASE event_id % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 1.0 ELSE 2.0 END::DOUBLE"
+_FACTORS = f"""p AS (SELECT user_id, event_id, value, ts FROM events WHERE event_type = 'purchase'), s AS (SELECT user_id, ts, {_RATIO} AS ratio FROM events WHERE event_type = 'signup'),
+f AS (SELECT p.event_id, p.value, coalesce((SELECT product(s.ratio) FROM s WHERE s.user_id = p.user_id AND s.ts > p.ts), 1.0) AS factor FROM p)"""
+
+
+def _factored(spark, sf_dir) -> DataFrame:
+    e = table(spark, sf_dir, "events")
+    ratio = F.when(F.col("event_id") % 3 == 0, 0.5).when(F.col("event_id") % 3 == 1, 1.0).otherwise(2.0)
+    changes = e.filter("event_type = 'signup'").select("user_id", "ts", ratio.alias("ratio"))
+    return matching.later_product(e.filter("event_type = 'purchase'"), changes, ["user_id"], "ts", "ts", "ratio")
+
+
+@query(f"WITH {_FACTORS} SELECT event_id, factor FROM f")
+def cumulative_factor(spark, sf_dir):
+    return _factored(spark, sf_dir).select("event_id", "factor")
+
+
+@query(f"WITH {_FACTORS} SELECT event_id, value / factor AS based FROM f")
+def basis_normalize(spark, sf_dir):
+    return _factored(spark, sf_dir).select("event_id", (F.col("value") / F.col("factor")).alias("based"))
+
+
+@query("""WITH o AS (SELECT o_orderkey, o_custkey, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(10 + o_orderkey % 60 AS INT) AS e FROM orders)
+SELECT o_orderkey FROM o a WHERE o_orderkey % 2 = 1 AND NOT EXISTS (SELECT 1 FROM o b WHERE b.o_orderkey % 2 = 0 AND b.o_custkey = a.o_custkey
+AND date_diff('day', greatest(a.s, b.s), least(a.e, b.e)) + 1 >= 20)""")
+def overlap_anti(spark, sf_dir):
+    start = F.to_date("o_orderdate")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", start.alias("period_start"), F.date_add(start, (10 + F.col("o_orderkey") % 60).cast("int")).alias("period_end"))
+    return matching.not_overlapping(o.filter("o_orderkey % 2 = 1"), o.filter("o_orderkey % 2 = 0"), ["o_custkey"], 20).select("o_orderkey")
+
+
+_VARIANTS = """up AS (SELECT p_partkey, upper(trim(p_name)) AS u FROM parts), ds AS (SELECT p_partkey, u, regexp_replace(regexp_replace(u, '[. ]', '-', 'g'), '-{2,}', '-', 'g') AS d FROM up),
+va AS (SELECT p_partkey, [u, d, replace(d, '-', '.'), replace(d, '-', ' ')] AS v FROM ds)"""
+_PARTS = "parts AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN replace(p_name, ' ', '.') WHEN 1 THEN replace(p_name, ' ', '  ') ELSE p_name END AS p_name FROM part)"
+
+
+def _parts_named(spark, sf_dir) -> DataFrame:
+    k = F.col("p_partkey") % 3
+    return table(spark, sf_dir, "part").select("p_partkey", F.when(k == 0, F.regexp_replace("p_name", " ", ".")).when(k == 1, F.regexp_replace("p_name", " ", "  ")).otherwise(F.col("p_name")).alias("p_name"))
+
+
+@query(f"WITH {_PARTS}, {_VARIANTS} SELECT p_partkey, d AS symbol FROM ds")
+def canonical_symbol(spark, sf_dir):
+    return _parts_named(spark, sf_dir).select("p_partkey", scalars.canonical_symbol(F.col("p_name")).alias("symbol"))
+
+
+@query(f"""WITH {_PARTS}, {_VARIANTS}, x AS (SELECT p_partkey, unnest(v) AS s, unnest(range(1, 5)) AS i FROM va), d2 AS (SELECT p_partkey, s, min(i) AS i FROM x WHERE s <> '' GROUP BY ALL)
+SELECT p_partkey, string_agg(s, '|' ORDER BY i) AS variants FROM d2 GROUP BY p_partkey""")
+def symbol_variants(spark, sf_dir):
+    return _parts_named(spark, sf_dir).select("p_partkey", F.array_join(scalars.symbol_variants(F.col("p_name")), "|").alias("variants"))
+
+
+_LOOKUP = "lk AS (SELECT upper(replace(p_name, ' ', '-')) AS t, max(p_partkey) AS cik FROM part WHERE p_partkey % 5 <> 0 GROUP BY 1), ask AS (SELECT DISTINCT p_name FROM parts)"
+_RESOLVED = f"""{_PARTS}, {_LOOKUP}, v AS (SELECT upper(trim(p_name)) AS ticker, regexp_replace(regexp_replace(upper(trim(p_name)), '[. ]', '-', 'g'), '-{{2,}}', '-', 'g') AS d FROM ask),
+re AS (SELECT DISTINCT v.ticker, coalesce(a.cik, b.cik) AS cik FROM v LEFT JOIN lk a ON a.t = v.ticker LEFT JOIN lk b ON b.t = v.d)"""
+
+
+def _resolved(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    asked = _parts_named(spark, sf_dir).select(F.col("p_name").alias("ticker")).distinct()
+    known = table(spark, sf_dir, "part").filter("p_partkey % 5 <> 0").select(F.regexp_replace("p_name", " ", "-").alias("ticker"), F.col("p_partkey").alias("cik"))
+    return asked, matching.resolve_symbols(asked, known)
+
+
+@query(f"WITH {_RESOLVED} SELECT ticker, cik FROM re WHERE cik IS NOT NULL")
+def resolve_variants(spark, sf_dir):
+    return _resolved(spark, sf_dir)[1]
+
+
+@query(f"WITH {_RESOLVED} SELECT p_name AS ticker FROM ask WHERE upper(trim(p_name)) IN (SELECT ticker FROM re WHERE cik IS NULL)")
+def unresolved(spark, sf_dir):
+    return matching.unresolved(*_resolved(spark, sf_dir))
+
+
+# --- periods -------------------------------------------------------------------------------------------------------
+
+_SPAN = "CASE WHEN s IS NULL THEN 'instant' WHEN n BETWEEN 25 AND 35 THEN 'monthly' WHEN n BETWEEN 70 AND 100 THEN 'quarterly' WHEN n BETWEEN 150 AND 200 THEN 'semiannual' WHEN n BETWEEN 330 AND 400 THEN 'annual' ELSE 'other' END"
+
+
+@query(f"WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS s, CAST(o_orderkey % 420 AS INT) AS n FROM orders) SELECT o_orderkey, {_SPAN} AS span FROM o")
+def classify_span(spark, sf_dir):
+    start = F.to_date("o_orderdate")
+    return table(spark, sf_dir, "orders").select("o_orderkey", scalars.classify_span(start, F.date_add(start, (F.col("o_orderkey") % 420).cast("int"))).alias("span"))
+
+
+@query(f"""WITH o AS (SELECT o_orderkey, CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) END AS s, CAST(o_orderdate AS DATE) + 90 AS e, 90 AS n FROM orders)
+SELECT o_orderkey, {_SPAN} AS span, CAST(coalesce(s, e) AS VARCHAR) AS interval_start FROM o""")
+def span_null_start(spark, sf_dir):
+    end = F.date_add(F.to_date("o_orderdate"), 90)
+    start = F.when(F.col("o_orderkey") % 4 != 0, F.to_date("o_orderdate"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", scalars.classify_span(start, end).alias("span"), F.date_format(scalars.interval_start(start, end), "yyyy-MM-dd").alias("interval_start"))
+
+
+_FLAGRANK = "CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END"
+
+
+def _lines(spark, sf_dir) -> DataFrame:
+    rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", rank.alias("rank"), "l_shipdate", "l_extendedprice")
+
+
+@query(f"""SELECT l_orderkey, l_returnflag, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_FLAGRANK}, l_shipdate DESC, l_extendedprice DESC) AS n FROM lineitem) WHERE n = 1""")
+def tag_priority_dedupe(spark, sf_dir):
+    best = _lines(spark, sf_dir).groupBy("l_orderkey").agg(F.max_by(F.struct("l_returnflag", "l_extendedprice"), F.struct(-F.col("rank"), "l_shipdate", "l_extendedprice")).alias("b"))
+    return best.select("l_orderkey", "b.*")
+
+
+@query("SELECT l_orderkey, l_linenumber, max(l_extendedprice) > 0 AND (max(l_extendedprice) - min(l_extendedprice)) / max(l_extendedprice) > 0.015 AS disagree FROM lineitem GROUP BY ALL")
+def restatement_flag(spark, sf_dir):
+    hi, lo = F.max("l_extendedprice"), F.min("l_extendedprice")
+    return _lines(spark, sf_dir).groupBy("l_orderkey", "l_linenumber").agg(((hi > 0) & ((hi - lo) / hi > 0.015)).alias("disagree"))
+
+
+@query("SELECT l_orderkey, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber, l_extendedprice) AS n FROM lineitem) WHERE n = 1")
+def latest_filed_first_tie(spark, sf_dir):
+    best = _lines(spark, sf_dir).groupBy("l_orderkey").agg(F.max_by("l_extendedprice", F.struct("l_shipdate", -F.col("l_linenumber"), -F.col("l_extendedprice"))).alias("l_extendedprice"))
+    return best
+
+
+_QUARTERS = """o AS (SELECT o_custkey AS cik, year(o_orderdate) AS y, quarter(o_orderdate) AS q, sum(round(o_totalprice * 100)) / 100 AS v FROM orders GROUP BY ALL),
+a AS (SELECT cik, y, sum(round(v * 100)) / 100 AS v FROM o GROUP BY ALL), k AS (SELECT cik, y, count(*) AS n, sum(round(v * 100)) / 100 AS v FROM o WHERE q < 4 GROUP BY ALL)"""
+
+
+def _records(spark, sf_dir) -> DataFrame:
+    """Customers as companies: yearly totals as annual records, the first three quarters as quarterly ones."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("cik"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q"), F.round(F.col("o_totalprice") * 100).alias("c"))
+    by_quarter = o.groupBy("cik", "y", "q").agg((F.sum("c") / 100).alias("v"))
+    quarter = by_quarter.filter("q < 4").select(
+        "cik", F.make_date("y", (F.col("q") - 1) * 3 + 1, F.lit(1)).alias("period_start"), F.last_day(F.make_date("y", F.col("q") * 3, F.lit(1))).alias("period_end"), F.lit("quarterly").alias("span_type"), F.col("v").alias("dps")
+    )
+    year = by_quarter.groupBy("cik", "y").agg((F.sum(F.round(F.col("v") * 100)) / 100).alias("v")).select(
+        "cik", F.make_date("y", F.lit(1), F.lit(1)).alias("period_start"), F.make_date("y", F.lit(12), F.lit(31)).alias("period_end"), F.lit("annual").alias("span_type"), F.col("v").alias("dps")
+    )
+    return quarter.unionByName(year).withColumn("source_tag", F.lit("orders")).withColumn("filed", F.col("period_end"))
+
+
+@query(f"""WITH {_QUARTERS} SELECT a.cik, a.y || '-10-01' AS period_start, a.y || '-12-31' AS period_end, round(a.v - k.v, 2) AS value FROM a JOIN k USING (cik, y) WHERE k.n = 3 AND a.v - k.v >= -0.005""")
+def derive_q4(spark, sf_dir):
+    return facts.missing_quarters(_records(spark, sf_dir)).select("cik", day("period_start"), day("period_end"), F.round("dps", 2).alias("value"))
+
+
+@query(f"""WITH {_QUARTERS}, m AS (SELECT DISTINCT o_custkey AS cik, year(o_orderdate) AS y FROM orders WHERE month(o_orderdate) = 11 AND o_orderkey % 2 = 0)
+SELECT a.cik, a.y || '-12-31' AS period_end, round(a.v - k.v, 2) AS value FROM a JOIN k USING (cik, y) WHERE k.n = 3 AND a.v - k.v >= -0.005 AND NOT EXISTS (SELECT 1 FROM m WHERE m.cik = a.cik AND m.y = a.y)""")
+def derive_q4_blocked(spark, sf_dir):
+    blocks = table(spark, sf_dir, "orders").filter((F.month("o_orderdate") == 11) & (F.col("o_orderkey") % 2 == 0)).select(F.col("o_custkey").alias("cik"), F.to_date("o_orderdate").alias("period_end"))
+    instants = blocks.distinct().select("cik", F.lit(None).cast("date").alias("period_start"), "period_end", F.lit("instant").alias("span_type"), F.lit(0.0).alias("dps"), F.lit("orders").alias("source_tag"), F.col("period_end").alias("filed"))
+    return facts.missing_quarters(_records(spark, sf_dir).unionByName(instants)).select("cik", day("period_end"), F.round("dps", 2).alias("value"))
+
+
+_ODATES = "RECURSIVE d AS (SELECT DISTINCT o_custkey AS k, CAST(o_orderdate AS DATE) AS d FROM orders), n AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY d) AS i FROM d)"
+
+
+def _order_days(spark, sf_dir) -> DataFrame:
+    return table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("custkey")).agg(F.array_sort(F.collect_set(F.to_date("o_orderdate"))).alias("days"))
+
+
+@query(f"""WITH {_ODATES}, r AS (SELECT k, i, d, d AS last, TRUE AS ok FROM n WHERE i = 1 UNION ALL
+SELECT n.k, n.i, n.d, CASE WHEN n.d - r.last > 10 THEN n.d ELSE r.last END, n.d - r.last > 10 FROM r JOIN n ON n.k = r.k AND n.i = r.i + 1)
+SELECT k AS custkey, CAST(d AS VARCHAR) AS day FROM r WHERE ok""")
+def greedy_suppress(spark, sf_dir):
+    kept = _order_days(spark, sf_dir).select("custkey", F.explode(folds.accepted_days(F.col("days"), 10)).alias("day"))
+    return kept.select("custkey", day("day"))
+
+
+@query(f"""WITH {_ODATES}, r AS (SELECT k, i, d, d AS leader FROM n WHERE i = 1 UNION ALL
+SELECT n.k, n.i, n.d, CASE WHEN n.d - r.leader > 30 THEN n.d ELSE r.leader END FROM r JOIN n ON n.k = r.k AND n.i = r.i + 1)
+SELECT k AS custkey, CAST(d AS VARCHAR) AS day, CAST(leader AS VARCHAR) AS leader FROM r""")
+def anchored_groups(spark, sf_dir):
+    led = _order_days(spark, sf_dir).select("custkey", F.explode(folds.leader_days(F.col("days"), 30)).alias("l"))
+    return led.select("custkey", day("l.day"), day("l.leader"))
+
+
+@query("""WITH m AS (SELECT o_custkey AS cik, year(o_orderdate) AS y, CAST(o_orderdate AS DATE) AS d, sum(round(o_totalprice * 100)) AS c FROM orders GROUP BY ALL),
+r AS (SELECT cik, y, d, sum(c) OVER (PARTITION BY cik, y ORDER BY d) AS ytd FROM m)
+SELECT cik, CAST(y AS INT) AS y, CAST(d AS VARCHAR) AS d, round((ytd - coalesce(lag(ytd) OVER (PARTITION BY cik, y ORDER BY d), 0)) / 100, 2) AS value FROM r""")
+def ytd_difference(spark, sf_dir):
+    m = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cik"), F.year("o_orderdate").alias("y"), F.to_date("o_orderdate").alias("d")).agg(F.sum(F.round(F.col("o_totalprice") * 100)).alias("c"))
+    w = Window.partitionBy("cik", "y").orderBy("d")
+    ytd = m.withColumn("ytd", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return ytd.select("cik", "y", day("d"), F.round((F.col("ytd") - F.coalesce(F.lag("ytd").over(w), F.lit(0.0))) / 100, 2).alias("value"))
+
+
+@query("""WITH r AS (SELECT *, CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS i FROM events WHERE value > 90)
+SELECT user_id, event_id FROM r WHERE i = (SELECT min(i) FROM r b WHERE b.user_id = r.user_id)""")
+def first_tag_wins(spark, sf_dir):
+    kind = F.col("event_type")
+    i = F.when(kind == "purchase", 0).when(kind == "signup", 1).when(kind == "click", 2).otherwise(3)
+    rows = table(spark, sf_dir, "events").filter("value > 90").select("user_id", "event_id", i.alias("i"))
+    return rows.withColumn("best", F.min("i").over(Window.partitionBy("user_id"))).filter("i = best").select("user_id", "event_id")
+
+
+# --- scans, flags and policy ---------------------------------------------------------------------------------------
+
+
+@query("""WITH l AS (SELECT user_id, CAST(ts AS DATE) AS d, list_distinct(list(event_type)) AS k FROM events GROUP BY ALL),
+m AS (SELECT user_id, d, list_sort(list_distinct(list_filter(list_transform(k, lambda x: CASE x WHEN 'purchase' THEN 'bought' WHEN 'signup' THEN 'joined' WHEN 'error' THEN 'failed' END), lambda x: x IS NOT NULL))) AS n FROM l)
+SELECT user_id, CAST(d AS VARCHAR) AS d, array_to_string(n, ',') AS event FROM m WHERE len(n) > 0""")
+def flag_items(spark, sf_dir):
+    e = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("d")).agg(F.array_join(F.collect_list("event_type"), " , ").alias("items"))
+    named = scalars.item_events(F.col("items"), {"purchase": "bought", "signup": "joined", "error": "failed"})
+    return e.select("user_id", day("d"), named.alias("event")).filter("event IS NOT NULL")
+
+
+@query("""WITH e AS (SELECT user_id, list(event_type ORDER BY event_id) AS form, list(event_id ORDER BY event_id) AS acc FROM events GROUP BY user_id)
+SELECT user_id, i - 1 AS pos, form[i] AS form, CASE WHEN i <= len(acc) - user_id % 4 THEN acc[i] ELSE -1 END AS accession FROM (SELECT *, unnest(range(1, len(form) + 1)) AS i FROM e)""")
+def zip_explode(spark, sf_dir):
+    pairs = F.array_sort(F.collect_list(F.struct("event_id", "event_type")))
+    e = table(spark, sf_dir, "events").groupBy("user_id").agg(pairs.alias("p"))
+    ragged = e.select("user_id", F.col("p.event_type").alias("form"), F.slice(F.col("p.event_id"), F.lit(1), F.greatest(F.size("p") - (F.col("user_id") % 4).cast("int"), F.lit(0))).alias("accession"))
+    return scans.zip_arrays(ragged, ["form", "accession"], ["user_id"]).select("user_id", F.col("pos").cast("long").alias("pos"), "form", F.coalesce("accession", F.lit(-1).cast("long")).alias("accession"))
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS cik, p_name AS title, p_brand AS ticker FROM part")
+def columnar_header(spark, sf_dir):
+    packed = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 64).alias("b")).agg(F.collect_list(F.array(F.col("p_partkey").cast("string"), "p_name", "p_brand")).alias("data"))
+    rows = packed.select(F.array(F.lit("cik"), F.lit("name"), F.lit("ticker")).alias("fields"), "data")
+    return scans.columnar_rows(rows, {"cik": "cik", "title": "name", "ticker": "ticker"})
+
+
+@query("SELECT p_partkey::VARCHAR AS ticker, p_name AS name, CASE WHEN p_partkey % 5 = 0 THEN '' ELSE p_brand END AS category FROM part WHERE p_partkey % 7 <> 0")
+def delimited_scan(spark, sf_dir):
+    """Part rows written as a pipe-delimited directory with short rows, test issues, blank lines and a trailer, and read back."""
+    p = table(spark, sf_dir, "part")
+    brand = F.when(F.col("p_partkey") % 5 != 0, F.concat(F.lit("|"), "p_brand")).otherwise(F.lit(""))
+    lines = p.select(F.concat(F.col("p_partkey").cast("string"), F.lit("|"), "p_name", F.lit("|"), F.when(F.col("p_partkey") % 7 == 0, "Y").otherwise("N"), brand).alias("value"))
+    noise = spark.createDataFrame([("",), ("File Creation Time: 0130202421:30|||",)], "value string")
+    return scans.delimited_rows(lines.unionByName(noise), ["Symbol", "Security Name", "Test Issue", "Market Category"], {"ticker": "Symbol", "name": "Security Name", "category": "Market Category"})
+
+
+@query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
+def json_map_scan(spark, sf_dir):
+    parsed = F.from_json("props", "struct<k:bigint>")
+    return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k"))
+
+
+@query("SELECT c_mktsegment AS exchange, c_name AS ticker FROM (SELECT *, row_number() OVER (PARTITION BY upper(c_name) ORDER BY c_custkey) AS n FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_name <> '') WHERE n = 1")
+def listed_filter(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.col("c_mktsegment").alias("exchange"), F.col("c_name").alias("ticker"), F.col("c_custkey").alias("ord"))
+    return scans.listed(c, ("BUILDING", "MACHINERY")).select("exchange", "ticker")
+
+
+@query("SELECT event_type AS ticker, value AS mentions FROM events")
+def allowlist_projection(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").withColumnsRenamed({"event_type": "ticker", "value": "mentions", "props": "text"})
+    return quality.allowed_only(rows, "ticker_trends")
+
+
+@query("SELECT user_id, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS failed FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'error') / count(*) > 0.2")
+def failure_fraction(spark, sf_dir):
+    failed = F.count_if(F.col("event_type") == "error")
+    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("total"), failed.alias("failed")).filter(F.col("failed") / F.col("total") > 0.2)
+
+
+@query("SELECT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS d, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY ALL")
+def event_counts(spark, sf_dir):
+    return table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("d")).agg(F.count("*").alias("n")).select("event_type", day("d"), "n")
+
+
+@query("SELECT c_custkey, sha256(printf('CIK%010d', c_custkey) || '|' || c_name || '|' || c_mktsegment) AS fingerprint FROM customer")
+def row_fingerprint(spark, sf_dir):
+    text = F.concat_ws("|", scalars.padded_cik(F.col("c_custkey")), "c_name", "c_mktsegment")
+    return table(spark, sf_dir, "customer").select("c_custkey", F.sha2(text, 256).alias("fingerprint"))
+
+
+@query("SELECT event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, CAST(count(*) AS BIGINT) AS mentions, round(sum(round(value * 100)) / 100, 2) AS engagement FROM events GROUP BY ALL")
+def hour_buckets(spark, sf_dir):
+    e = table(spark, sf_dir, "events").groupBy("event_type", F.window("ts", "1 hour").alias("w"))
+    out = e.agg(F.count("*").alias("mentions"), F.round(F.sum(F.round(F.col("value") * 100)) / 100, 2).alias("engagement"))
+    return out.select("event_type", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("bucket_start"), "mentions", "engagement")
+
+
+@query("SELECT c_custkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment, CAST(c_custkey AS VARCHAR)) AS BIGINT) AS rank FROM customer")
+def canonical_sort(spark, sf_dir):
+    w = Window.partitionBy("c_nationkey").orderBy("c_mktsegment", F.col("c_custkey").cast("string"))
+    return table(spark, sf_dir, "customer").select("c_custkey", F.row_number().over(w).cast("long").alias("rank"))
