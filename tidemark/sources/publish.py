@@ -33,7 +33,7 @@ def json_payload(df: DataFrame, order: list, compress: bool = False) -> tuple[by
     """The rows as JSON lines in a total order, and their number, counted on the way. Compressed bytes carry no time."""
     seen = Observation("rows")
     lines = canonical_json(df.orderBy(*order).observe(seen, F.count(F.lit(1)).alias("n")))
-    text = "".join(f"{r['value']}\n" for r in lines.toLocalIterator()).encode()
+    text = "".join(f"{r['value']}\n" for r in lines.collect()).encode()
     return (gzip.compress(text, mtime=0) if compress else text), int(seen.get["n"])
 
 
