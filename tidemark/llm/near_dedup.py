@@ -10,7 +10,7 @@ Exact sets of distinct five-word shingles; two documents link at a Jaccard simil
    Bands double in size; a set also joins the next band if a partner can be there. Tokens are dealt to as many buckets
    as the shingles ask for; cells too full for a bucket's memory go through a shuffled aggregation instead.
 3. Sets under one token become a star of pairs around their least key, never all pairs. Sizes and the Hamming distance of
-   512 parity bits, a lower bound of the symmetric difference, discard pairs; whole sets verify the others.
+   parity bits, two to four a shingle, a lower bound of the symmetric difference, discard pairs; whole sets verify the others.
 4. Components of verified links. Wherever sets under one token are still in different components, their pairs across components
    are verified as well (after the same two bounds), so no link is lost.
 
@@ -36,21 +36,29 @@ CELLS = 1 << 18
 #: A cell counted more often than this is not dealt to a bucket (12 bytes an entry).
 HOT_CELL = 4_000_000
 ENTRIES_PER_BUCKET = 250_000
-FLUSH = 2_000_000
+FLUSH = 600_000
+#: Texts whose sets a task holds at once.
+SLICE = 500
 #: Up to this many representatives, their ids are broadcast; beyond it, texts and ids join by shuffle.
 BROADCAST_IDS = 2_000_000
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for a in range(0, batch.num_rows, SLICE):
+            yield batch.slice(a, SLICE)
+
+
 def _ids(docs: DataFrame) -> str:
     return dict(docs.dtypes)["doc_id"]
 
 
 def profile(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Stored rows (doc_id, n, sig, sketch) and the count of sketch tokens by cell."""
+    """Stored rows (doc_id, n, sig, sketch, wide) and the count of sketch tokens by cell."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, seen = np.zeros(CELLS, np.int64), set()
-        for batch in batches:
+        for batch in _slices(batches):
             sets = S.shingle_sets(batch.column("text").to_pylist())
             sigs = [S.class_key(s) if len(s) else None for s in sets]
             for s, sig in zip(sets, sigs, strict=True):
@@ -59,19 +67,19 @@ def profile(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                     for band, _ in S.bands(len(s)):
                         np.add.at(weight, S.cells(S.block_tokens(s, band)[0], weight), 1)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), pa.array([S.short_sketch(s) for s in sets], pa.list_(pa.int64())), pa.nulls(len(sets), pa.list_(pa.int32())), pa.nulls(len(sets), pa.list_(pa.int64()))],
-                ["doc_id", "n", "sig", "sketch", "cell", "count"],
+                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), pa.array([S.parity_bits(s, S.SHORT) for s in sets], pa.list_(pa.int64())), pa.array([S.parity_bits(s, S.wide_bits(len(s))) for s in sets], pa.list_(pa.int64())), pa.nulls(len(sets), pa.list_(pa.int32())), pa.nulls(len(sets), pa.list_(pa.int64()))],
+                ["doc_id", "n", "sig", "sketch", "wide", "cell", "count"],
             )
         used = np.flatnonzero(weight)
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa_id), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.list_(pa.int64())), pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([weight[used]], pa.list_(pa.int64()))],
-            ["doc_id", "n", "sig", "sketch", "cell", "count"],
+            [pa.nulls(1, pa_id), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.list_(pa.int64())), pa.array([None], pa.list_(pa.int64())), pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([weight[used]], pa.list_(pa.int64()))],
+            ["doc_id", "n", "sig", "sketch", "wide", "cell", "count"],
         )
 
     from pyspark.sql.pandas.types import to_arrow_type
 
     pa_id = to_arrow_type(docs.schema["doc_id"].dataType)
-    both = staged(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_ids(docs)}, n bigint, sig bigint, sketch array<bigint>, cell array<int>, count array<bigint>"), "near-profile")
+    both = staged(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_ids(docs)}, n bigint, sig bigint, sketch array<bigint>, wide array<bigint>, cell array<int>, count array<bigint>"), "near-profile")
     counted = both.filter("cell IS NOT NULL").select(F.explode(F.arrays_zip("cell", "count")).alias("c")).groupBy("c.cell").agg(F.sum("c.count").alias("n")).toPandas()  # CELLS rows at most
     weight = np.zeros(CELLS, np.int64)
     weight[counted["cell"].to_numpy()] = counted["n"].to_numpy()
@@ -100,7 +108,7 @@ def _token_rows(docs: DataFrame, weight: np.ndarray, buckets: int, hot_cell: int
                 packed.append(tokens[a:z].astype(kind).tobytes() + sigs[a:z].astype("<i8").tobytes())
             return pa.RecordBatch.from_arrays([pa.array(bucket[first], pa.int64()), pa.array(packed, pa.binary())], ["bucket", "entries"])
 
-        for batch in batches:
+        for batch in _slices(batches):
             for s in S.shingle_sets(batch.column("text").to_pylist()):
                 if not len(s) or (sig := S.class_key(s)) in seen:
                     continue
@@ -174,14 +182,25 @@ def candidate_stars(docs: DataFrame, weight: np.ndarray, entries: int, hot_cell:
 
 
 def _within_bounds(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs (a, b) whose sizes and sketches allow a link."""
-    left, right = (classes.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-    return pairs.join(left, "a").join(right, "b").filter(_may_link()).select("a", "b")
+    """Pairs (a, b) whose sizes and wide sketches allow a link."""
+    left, right = (classes.select(F.col("sig").alias(x), F.col("n").alias(f"n{x}"), F.col("wide").alias(f"s{x}")) for x in "ab")
+    both = pairs.join(left, "a").join(right, "b").filter(_sizes_fit())
+    words = F.least(F.size("sa"), F.size("sb"))
+
+    def folded(s: str):
+        half = F.zip_with(F.slice(s, F.lit(1), words), F.slice(s, words + 1, words), lambda x, y: x.bitwiseXOR(y))
+        return F.when(F.size(s) > words, half).otherwise(F.col(s))
 
+    return both.withColumns({"sa": folded("sa"), "sb": folded("sb")}).filter(_sketches_fit()).select("a", "b")
 
-def _may_link():
+
+def _sizes_fit():
+    return 4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")
+
+
+def _sketches_fit():
     apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, d: t + d)
-    return (4 * F.least("na", "nb") >= 3 * F.greatest("na", "nb")) & (7 * apart <= F.col("na") + F.col("nb"))
+    return 7 * apart <= F.col("na") + F.col("nb")
 
 
 def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -194,12 +213,11 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     texts = docs.select("doc_id", "text").join(side, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches):
             sets = [s for s in S.shingle_sets(batch.column("text").to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([S.class_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "grams"])
 
-    sets = texts.mapInArrow(run, "sig bigint, grams binary").join(wanted, "sig", "left_semi").dropDuplicates(["sig"])
-    sets = staged(sets, "near-sets")
+    sets = texts.mapInArrow(run, "sig bigint, grams binary")  # both joins below read one shuffle of it
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -213,13 +231,14 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     whole = pairs.join(sets.select(F.col("sig").alias("b"), F.col("grams").alias("y")), "b").join(sets.select(F.col("sig").alias("a"), F.col("grams").alias("x")), "a")
-    return staged(whole.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint"), "near-links")
+    # a repeated doc_id can bring a set more than once
+    return staged(whole.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint").distinct(), "near-links")
 
 
 def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id, n_links (verified links of its class)."""
     light, weight = profile(docs)
-    classes = staged(light.filter("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch")), "near-classes")
+    classes = staged(light.filter("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "near-classes")
     stars = candidate_stars(docs, weight, int(weight.sum()), hot_cell)
     pairs = staged(_within_bounds(stars.select("a", "b").distinct(), classes), "near-pairs")
     links = verified(pairs, docs, classes)
@@ -233,8 +252,8 @@ def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
     open_ = staged(open_, "near-open")
     if not open_.isEmpty():
         one, two = (open_.select("g", F.col("m").alias(x), F.col("component").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-        across = one.join(two, "g").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _may_link()).select("a", "b").distinct()
-        more = verified(staged(across, "near-pairs"), docs, classes)
+        across = one.join(two, "g").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit() & _sketches_fit()).select("a", "b").distinct()
+        more = verified(staged(_within_bounds(across, classes), "near-pairs"), docs, classes)
         links = links.unionByName(more)
         tied = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     degree = links.select(F.col("a").alias("sig")).unionByName(links.select(F.col("b").alias("sig"))).groupBy("sig").count().withColumnRenamed("count", "n_links")

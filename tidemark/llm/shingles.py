@@ -87,12 +87,23 @@ def class_key(shingles: np.ndarray) -> int:
     return int(mix(np.array([total + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
-def short_sketch(shingles: np.ndarray) -> list[int]:
-    """512 parity bits as eight signed numbers; their Hamming distance is at most the symmetric difference."""
-    at = np.bincount((shingles >> np.uint64(7)).astype(np.int64) & 511, minlength=512) & 1
+SHORT = 512
+
+
+def parity_bits(shingles: np.ndarray, bits: int) -> list[int]:
+    """``bits`` parity bits (a power of two) as signed 64-bit words; the Hamming distance of two is at most the symmetric difference.
+
+    The XOR of both halves is the sketch of half as many bits.
+    """
+    at = np.bincount((shingles >> np.uint64(7)).astype(np.int64) & (bits - 1), minlength=bits) & 1
     return np.packbits(at.astype(np.uint8)).view(np.int64).tolist()
 
 
+def wide_bits(size: int) -> int:
+    """Two to four bits a shingle, so that the distance of unlike sets shows; sets of linked sizes differ by one halving at most."""
+    return max(SHORT, 2 << size.bit_length())
+
+
 def bands(size: int) -> list[tuple[int, int]]:
     """(band, most differing blocks): a set's own band, and the next one if a partner of up to 4/3 of its size is there."""
     own, largest = size.bit_length(), 4 * size // 3
