@@ -6,7 +6,7 @@ import numpy as np
 
 
 def quantile_edges(x: np.ndarray, bins: int) -> list[np.ndarray]:
-    return [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
+    return [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) if len(c) else c for c in x.T]
 
 
 def to_bins(x: np.ndarray, edges: list[np.ndarray]) -> np.ndarray:

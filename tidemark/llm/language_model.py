@@ -3,7 +3,7 @@
 Words are counted over the whole corpus; the commonest get a class each, all others share hashed classes. A network of one
 hidden layer sees the classes of the two words before and the two after a masked position and predicts the class between.
 It is trained in numpy by local gradient descent: in every round each task starts from the common weights, walks over a
-hashed sixteenth of the positions of all its documents (another sixteenth each round), and the weights are averaged by the number of positions, so all
+hashed eighth of the positions of all its documents (another eighth each round), and the weights are averaged by the number of positions, so all
 of the corpus teaches and what is gathered grows with it. Scoring masks every position of every whole text in turn and sums log-probabilities.
 
 Defined results: null and blank texts have no words: n_words 0, log_prob 0, mean_log_prob null; null ``doc_id`` and repeated
@@ -29,8 +29,8 @@ CLASSES = 1 + OWN + SHARED
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
-ONE_IN = 16
-RATE, BATCH = 0.5, 2048
+ONE_IN = 8
+RATE, BATCH = 0.5, 256
 BLOCK = 32_768
 COUNTER = 400_000
 
@@ -142,7 +142,7 @@ def train(coded: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network
             for batch in batches:
                 for row in batch.column("classes"):
                     c = np.frombuffer(row.as_py(), np.uint8)
-                    shift = (zlib.crc32(row.as_py()) + r * 5) % ONE_IN  # which sixteenth of its positions a text gives
+                    shift = (zlib.crc32(row.as_py()) + r * 3) % ONE_IN  # which eighth of its positions a text gives
                     at = np.arange(shift, len(c), ONE_IN)
                     if len(at):
                         held.append((windows(c)[at], c[at]))

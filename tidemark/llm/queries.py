@@ -16,8 +16,14 @@ ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
 
 
+#: Rows and bytes of a batch between Spark and its Python workers: whole texts are long, and two tasks share an executor.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+
+
 def ship(spark: SparkSession) -> None:
-    """Send this package to the Python workers, unless they find it by the search path or the folder they start in."""
+    """Bound the batches, and send this package to the Python workers unless they find it by the search path or the folder they start in."""
+    for name, value in BATCH.items():
+        spark.conf.set(name, value)
     paths = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     app = spark.sparkContext.applicationId
     if app in _shipped or any(p and Path(p).resolve() == ROOT for p in paths):
