@@ -148,7 +148,7 @@ def corporate_actions(spark: SparkSession, data: Path, asked: DataFrame, lookup:
     return {"splits": n, "dividends": spark.read.parquet((folder / "dividends.parquet").as_uri()).count()}
 
 
-def collect_events(spark: SparkSession, data: Path, payloads: DataFrame, failed: list[int], today: str, every: int = 500) -> int:
+def collect_events(spark: SparkSession, data: Path, payloads: DataFrame, failed: list[int], today: str) -> int:
     """Add flagged filings of companies not yet done this ISO week; failed companies stay pending. Progress and log are published together."""
     folder, name = data / "events", "events.jsonl.gz"
     schema = schemas.FLAGGED_EVENTS
