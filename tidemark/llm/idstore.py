@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, scratch_path, shuffle_partitions, staged, text_of
+from tidemark.llm.common import documents, scratch_path, shuffle_partitions, staged, text_of, tidy
 
 MAGIC = b"TMID"
 SHARD_IDS = 8_000_000
@@ -197,7 +197,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, space_joins:
 
     rows = docs.select("doc_id", text_of().alias("text"))
     dealt = rows.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    manifest = staged(dealt.mapInArrow(write, "part int, shard int, uri string, n_docs bigint, n_ids bigint"), "ids-manifest")
+    manifest = staged(dealt.mapInArrow(tidy(write), "part int, shard int, uri string, n_docs bigint, n_ids bigint"), "ids-manifest")
     # A row per shard: the only thing summed in one place, about a millionth of the payload.
     before = F.sum("n_ids").over(Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1))
     return manifest.withColumn("ids_before", F.coalesce(before, F.lit(0)))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import shingles as S
-from tidemark.llm.common import documents, shuffle_partitions, staged
+from tidemark.llm.common import documents, shuffle_partitions, staged, tidy
 from tidemark.llm.components import components
 
 CELLS = 1 << 18
@@ -79,7 +79,7 @@ def profile(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
     from pyspark.sql.pandas.types import to_arrow_type
 
     pa_id = to_arrow_type(docs.schema["doc_id"].dataType)
-    both = staged(docs.select("doc_id", "text").mapInArrow(run, f"doc_id {_ids(docs)}, n bigint, sig bigint, sketch array<bigint>, wide array<bigint>, cell array<int>, count array<bigint>"), "near-profile")
+    both = staged(docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {_ids(docs)}, n bigint, sig bigint, sketch array<bigint>, wide array<bigint>, cell array<int>, count array<bigint>"), "near-profile")
     counted = both.filter("cell IS NOT NULL").select(F.explode(F.arrays_zip("cell", "count")).alias("c")).groupBy("c.cell").agg(F.sum("c.count").alias("n")).toPandas()  # CELLS rows at most
     weight = np.zeros(CELLS, np.int64)
     weight[counted["cell"].to_numpy()] = counted["n"].to_numpy()
@@ -122,7 +122,7 @@ def _token_rows(docs: DataFrame, weight: np.ndarray, buckets: int, hot_cell: int
                     held, size = [], 0
         yield flush()
 
-    return docs.select("text").mapInArrow(run, "bucket bigint, entries binary")
+    return docs.select("text").mapInArrow(tidy(run), "bucket bigint, entries binary")
 
 
 def _stars(tokens: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -217,7 +217,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
             sets = [s for s in S.shingle_sets(batch.column("text").to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([S.class_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "grams"])
 
-    sets = texts.mapInArrow(run, "sig bigint, grams binary")  # both joins below read one shuffle of it
+    sets = texts.mapInArrow(tidy(run), "sig bigint, grams binary")  # both joins below read one shuffle of it
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import documents, text_of
+from tidemark.llm.common import documents, text_of, tidy
 
 WINDOW = 2048
 SHARD_IDS = 3_000_000
@@ -172,7 +172,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
         yield table(list(packer.finish()))
 
     schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids binary" * with_ids
-    return docs.select("doc_id", text_of().alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", text_of().alias("text")).mapInArrow(tidy(run), schema)
 
 
 def op8_pack(spark, sf_dir: str) -> DataFrame:

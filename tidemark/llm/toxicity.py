@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.boosting import Boosted, Isotonic
-from tidemark.llm.common import documents, held_out, labels, staged, text_of
+from tidemark.llm.common import documents, held_out, labels, staged, text_of, tidy
 
 #: Labelled rows that the model is fitted on, at most.
 SAMPLE = 20_000
@@ -34,7 +34,7 @@ LEAST_SHARE, LEAST_DOCS = 0.01, 4
 STEMS = (4, 5, 6)
 NEAR = 8
 #: Words that one Python worker remembers.
-MEMO = 300_000
+MEMO = 150_000
 
 # Words of the second person in English, German, French and Spanish.
 SECOND_PERSON = frozenset("you your yours yourself du dich dir dein deine sie ihr euch tu te toi ton ta vous votre usted ustedes tú ti vosotros".split())
@@ -191,7 +191,7 @@ def scored(docs: DataFrame, model: Model) -> DataFrame:
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return docs.mapInArrow(run, StructType(list(docs.schema.fields)).add("tox_score", DoubleType()))
+    return docs.mapInArrow(tidy(run), StructType(list(docs.schema.fields)).add("tox_score", DoubleType()))
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
