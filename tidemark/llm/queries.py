@@ -11,6 +11,7 @@ from pathlib import Path
 from pyspark.sql import SparkSession
 
 from tidemark.llm import exact_dedup, idstore, language_model, media, mixing, near_dedup, packing, pii, quality, toxicity
+from tidemark.llm.common import scratch_path
 
 ROOT = Path(__file__).resolve().parents[2]
 _shipped: set[str] = set()
@@ -28,13 +29,14 @@ def ship(spark: SparkSession) -> None:
     app = spark.sparkContext.applicationId
     if app in _shipped or any(p and Path(p).resolve() == ROOT for p in paths):
         return
-    with tempfile.TemporaryDirectory() as d:
+    jvm, shared = spark.sparkContext._jvm, f"{scratch_path(spark, 'package')}/tidemark.zip"
+    with tempfile.TemporaryDirectory() as d:  # packed on the driver, then put where all machines see it
         inside = Path(d, "tree", "tidemark")
         shutil.copytree(ROOT / "tidemark", inside, ignore=shutil.ignore_patterns("__pycache__"))
-        archive = shutil.make_archive(str(Path(d, f"tidemark-{app}")), "zip", inside.parent)
-        kept = Path(tempfile.gettempdir(), Path(archive).name)
-        shutil.copy(archive, kept)
-    spark.sparkContext.addPyFile(str(kept))
+        archive = shutil.make_archive(str(Path(d, "tidemark")), "zip", inside.parent)
+        target = jvm.org.apache.hadoop.fs.Path(shared)
+        target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).copyFromLocalFile(jvm.org.apache.hadoop.fs.Path(f"file://{archive}"), target)
+    spark.sparkContext.addPyFile(shared)
     _shipped.add(app)
 
 
