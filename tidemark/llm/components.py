@@ -20,16 +20,16 @@ def _hub(pairs: DataFrame, keep) -> DataFrame:
 
 def components(edges: DataFrame) -> DataFrame:
     """Undirected ``edges`` (u, v) to (node, component): the least node that can be reached."""
-    now = staged(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc")
+    now = staged(edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "cc", light=True)
     before = None
     while (stamp := _stamp(now)) != before:
         before = stamp
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = _hub(both, F.col("v") > F.col("u")).distinct()
-        large = staged(large, "cc")
+        large = staged(large, "cc", light=True)
         # every node with its lesser neighbours, and itself, to the least of them
         down = large.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         least = down.groupBy("u").agg(F.min("v").alias("m"))
         small = down.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
-        now = staged(small.filter("u <> v").distinct(), "cc")
+        now = staged(small.filter("u <> v").distinct(), "cc", light=True)
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

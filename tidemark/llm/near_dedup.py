@@ -207,7 +207,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     """The pairs (a, b) whose whole sets link."""
     spark = docs.sparkSession
     wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    reps = staged(wanted.join(classes.select("sig", "rep"), "sig").select(F.col("rep").alias("doc_id")).distinct(), "near-reps")
+    reps = staged(wanted.join(classes.select("sig", "rep"), "sig").select(F.col("rep").alias("doc_id")).distinct(), "near-reps", light=True)
     few = reps.count() <= BROADCAST_IDS
     side = (F.broadcast(reps) if few else reps).withColumnRenamed("doc_id", "__id")
     texts = docs.select("doc_id", "text").join(side, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text")
@@ -232,7 +232,7 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
 
     whole = pairs.join(sets.select(F.col("sig").alias("b"), F.col("grams").alias("y")), "b").join(sets.select(F.col("sig").alias("a"), F.col("grams").alias("x")), "a")
     # a repeated doc_id can bring a set more than once
-    return staged(whole.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint").distinct(), "near-links")
+    return staged(whole.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint").distinct(), "near-links", light=True)
 
 
 def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
@@ -240,7 +240,7 @@ def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
     light, weight = profile(docs)
     classes = staged(light.filter("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "near-classes")
     stars = candidate_stars(docs, weight, int(weight.sum()), hot_cell)
-    pairs = staged(_within_bounds(stars.select("a", "b").distinct(), classes), "near-pairs")
+    pairs = staged(_within_bounds(stars.select("a", "b").distinct(), classes), "near-pairs", light=True)
     links = verified(pairs, docs, classes)
     tied = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
 
@@ -253,7 +253,7 @@ def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
     if not open_.isEmpty():
         one, two = (open_.select("g", F.col("m").alias(x), F.col("component").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
         across = one.join(two, "g").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit() & _sketches_fit()).select("a", "b").distinct()
-        more = verified(staged(_within_bounds(across, classes), "near-pairs"), docs, classes)
+        more = verified(staged(_within_bounds(across, classes), "near-pairs", light=True), docs, classes)
         links = links.unionByName(more)
         tied = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
     degree = links.select(F.col("a").alias("sig")).unionByName(links.select(F.col("b").alias("sig"))).groupBy("sig").count().withColumnRenamed("count", "n_links")
@@ -267,7 +267,7 @@ def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose component has a smaller ``doc_id``; rows that repeat the staying id stay once."""
     groups = near_groups(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = staged(groups.select(F.col("doc_id").alias("__id")).distinct(), "near-gone")
+    gone = staged(groups.select(F.col("doc_id").alias("__id")).distinct(), "near-gone", light=True)
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
 
 
