@@ -1,6 +1,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -158,3 +159,24 @@ def test_language_model(spark):
     assert abs(p - 1) < 1e-3
     coded, net = language_model.fit(frame(spark, []))
     assert language_model.score(coded, net).count() == 0
+
+
+def test_language_model_scores_words_within_their_class(spark):
+    """The word's share of its class, from counts over all texts, is part of the score; words of one hashed class differ by it."""
+    rnd = random.Random(8)
+    words = [f"w{k}" for k in range(400)]
+    rows = [(i, " ".join(rnd.choices(words, [1 / (1 + k) for k in range(400)], k=200))) for i in range(40)] + [(900, "junkjunk"), (901, None)]
+    coded, net = language_model.fit(frame(spark, rows, 3))
+    got = {r["doc_id"]: r for r in coded.collect()}
+    counts, of = Counter(w for _, t in rows for w in (t or "").split()), {}
+    for i, t in rows:
+        of.update(zip((t or "").split(), got[i]["classes"], strict=True))
+    per = Counter()
+    for w, n in counts.items():
+        per[of[w]] += n
+    for i, t in rows:
+        assert abs(got[i]["within"] - sum(np.log(counts[w] / per[of[w]]) for w in (t or "").split())) < 1e-6
+    assert sum(n == 1 for n in Counter(of.values()).values()) >= language_model.OWN and len(of) == len(counts)
+    score = {r["doc_id"]: r["log_prob"] for r in language_model.score(coded, net).collect()}
+    context = language_model.windows(np.frombuffer(got[900]["classes"], np.uint8))
+    assert abs(score[900] - net.log_probs(context, np.frombuffer(got[900]["classes"], np.uint8))[0] - np.log(1 / per[of["junkjunk"]])) < 1e-4

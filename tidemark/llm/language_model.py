@@ -1,6 +1,8 @@
 """Masked pseudo-likelihood with a bidirectional window network.
 
-Words are counted over the whole corpus; the commonest get a class each, all others share hashed classes. A network of one
+Words are counted over the whole corpus; the commonest get a class each, all others share hashed classes. A token scores
+log P(class | context) + log P(word | class): the second is the word's share of all tokens of its class, from the full table of word
+counts, which is never in one place (words go by 64-bit hashes to buckets, counts come back to the texts). A network of one
 hidden layer sees the classes of the two words before and the two after a masked position and predicts the class between.
 It is trained in numpy by local gradient descent: in every round each task starts from the common weights, walks over a
 hashed eighth of the positions of all its documents (another eighth each round), and the weights are averaged by the number of positions, so all
@@ -14,15 +16,17 @@ are ignored.
 from __future__ import annotations
 
 import zlib
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from tidemark.llm.common import documents, staged, text_of
+from tidemark.llm import shingles as S
+from tidemark.llm.common import documents, shuffle_partitions, staged, text_of, tidy
 
 OWN, SHARED = 95, 32  # classes: 0 is the edge of a text, then the commonest words, then hashed classes
 CLASSES = 1 + OWN + SHARED
@@ -32,45 +36,144 @@ ROUNDS = 2
 ONE_IN = 8
 RATE, BATCH = 0.5, 256
 BLOCK = 32_768
-COUNTER = 400_000
+#: Characters of text whose words share a vocabulary, and counts that a bucket of words takes.
+CHUNK = 4 << 20
+ENTRIES_PER_BUCKET = 500_000
 
+_BLANKS = bytes(32 if 9 <= b <= 13 else b for b in range(256))
 
-def word_counts(docs: DataFrame) -> DataFrame:
-    """(word as bytes, n) over all texts; tasks add up what they have read before anything is shuffled."""
+
+def _hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    return S.words_of([t.encode().translate(_BLANKS) for t in texts])
+
+
+def _chunks(docs: DataFrame) -> DataFrame:
+    """Stored, a row per chunk of texts: their doc_ids and sizes, the words as numbers of the chunk's sorted vocabulary, and its counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(c: Counter) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(c), pa.binary()), pa.array(list(c.values()), pa.int64())], ["word", "n"])
+        made, keys, texts, size = 0, [], [], 0
+
+        def flush() -> pa.RecordBatch:
+            words, edges = _hashes(texts)
+            vocabulary, at, n = np.unique(words, return_inverse=True, return_counts=True)
+            row = [(TaskContext.get().partitionId() << 40) + made, keys, np.diff(edges), at.astype("<i4").tobytes(), vocabulary.astype("<u8").tobytes(), n.astype("<i8").tobytes()]
+            return pa.RecordBatch.from_arrays([pa.array([v], k) for v, k in zip(row, kinds, strict=True)], names)
 
-        seen: Counter = Counter()
         for batch in batches:
-            for text in batch.column("text"):
-                seen.update(text.as_py().encode().split())
-                if len(seen) >= COUNTER:
-                    yield flush(seen)
-                    seen = Counter()
-        yield flush(seen)
+            for key, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
+                keys.append(key)
+                texts.append(text.as_py())
+                size += len(texts[-1])
+                if size >= CHUNK:
+                    yield flush()
+                    made, keys, texts, size = made + 1, [], [], 0
+        if keys:
+            yield flush()
+
+    kinds = [pa.int64(), pa.list_(to_arrow_type(docs.schema["doc_id"].dataType)), pa.list_(pa.int64()), pa.binary(), pa.binary(), pa.binary()]
+    names = ["chunk", "doc_ids", "sizes", "at", "vocabulary", "n"]
+    schema = f"chunk bigint, doc_ids array<{dict(docs.dtypes)['doc_id']}>, sizes array<bigint>, at binary, vocabulary binary, n binary"
+    return staged(docs.select("doc_id", text_of().alias("text")).mapInArrow(tidy(run), schema), "lm-chunks")
+
+
+def _totals(chunks: DataFrame) -> DataFrame:
+    """Stored: per chunk and bucket the whole table's count of each of the chunk's words (n); and, with a null chunk, of each bucket
+    the commonest words (words, n). A bucket is a range of hashes, dealt all counts of its words."""
+    entries = chunks.agg(F.sum(F.length("vocabulary"))).first()[0] or 0
+    buckets = max(shuffle_partitions(chunks.sparkSession), -(-entries // (8 * ENTRIES_PER_BUCKET)))
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, words, n in zip(*(batch.column(c).to_pylist() for c in ("chunk", "vocabulary", "n")), strict=True):
+                words, n = np.frombuffer(words, "<u8"), np.frombuffer(n, "<i8")
+                bucket = (((words >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+                first = np.flatnonzero(np.diff(bucket, prepend=-1))
+                spans = list(zip(first, np.append(first[1:], len(bucket)), strict=False))
+                yield pa.RecordBatch.from_arrays([pa.array(bucket[first]), pa.array([chunk] * len(spans), pa.int64()), pa.array([words[a:z].tobytes() for a, z in spans], pa.binary()), pa.array([n[a:z].tobytes() for a, z in spans], pa.binary())], ["bucket", "chunk", "words", "n"])
+
+    def add(table: pa.Table) -> pa.Table:
+        raws = [w.as_py() for w in table.column("words")]
+        words, at = np.unique(np.frombuffer(b"".join(raws), "<u8"), return_inverse=True)
+        n = np.zeros(len(words), np.int64)
+        np.add.at(n, at, np.frombuffer(b"".join(v.as_py() for v in table.column("n")), "<i8"))
+        ends = np.cumsum([len(w) // 8 for w in raws])[:-1]
+        top = np.lexsort((words, -n))[:OWN]
+        back = [v.tobytes() for v in np.split(n[at], ends)]
+        rows = len(back)
+        return pa.table({
+            "bucket": pa.concat_arrays([table.column("bucket").combine_chunks(), pa.nulls(1, pa.int64())]), "chunk": pa.concat_arrays([table.column("chunk").combine_chunks(), pa.nulls(1, pa.int64())]),
+            "n": pa.array([*back, n[top].tobytes()], pa.binary()), "words": pa.array([None] * rows + [words[top].tobytes()], pa.binary()),
+        })
+
+    pieces = chunks.select("chunk", "vocabulary", "n").mapInArrow(tidy(deal), "bucket bigint, chunk bigint, words binary, n binary")
+    return staged(pieces.groupBy("bucket").applyInArrow(add, "bucket bigint, chunk bigint, n binary, words binary"), "lm-counts")
+
+
+def _shared(words: np.ndarray) -> np.ndarray:
+    """The shared class of each word, from 0."""
+    return (words % np.uint64(SHARED)).astype(np.int64)
+
+
+def _commonest(totals: DataFrame) -> np.ndarray:
+    """Hashes of the OWN commonest words, commonest first."""
 
-    return docs.select(text_of().alias("text")).mapInArrow(run, "word binary, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for words, n in zip(batch.column("words").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(words, "<i8")), pa.array(np.frombuffer(n, "<i8"))], ["word", "n"])
 
+    rows = totals.filter("chunk IS NULL").select("words", "n").mapInArrow(run, "word bigint, n bigint")
+    return np.array([r["word"] for r in rows.orderBy(F.desc("n"), "word").limit(OWN).collect()], np.int64).view(np.uint64)
 
-class _Classes(dict):
-    def __missing__(self, word: bytes) -> int:
-        return 1 + OWN + zlib.crc32(word) % SHARED
 
+def _coded(chunks: DataFrame, totals: DataFrame, common: np.ndarray) -> tuple[DataFrame, np.ndarray]:
+    """Stored rows (doc_id, classes, within): the class of every word, a byte each, and the sum of log P(word | class); and the count of each class."""
+    order = np.argsort(common)
+    ranked, number = common[order], (1 + order).astype(np.int64)
 
-def encode(docs: DataFrame, common: list[bytes]) -> DataFrame:
-    """doc_id and the class of every word, a byte each; stored, as training and scoring read it several times."""
-    table = {w: 1 + i for i, w in enumerate(common)}
+    def classes_of(words: np.ndarray) -> np.ndarray:
+        of = 1 + OWN + _shared(words)
+        if len(ranked):
+            near = np.minimum(np.searchsorted(ranked, words), len(ranked) - 1)
+            of = np.where(ranked[near] == words, number[near], of)
+        return of
+
+    def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        per = np.zeros(CLASSES, np.int64)
+        for batch in batches:
+            for words, n in zip(batch.column("vocabulary").to_pylist(), batch.column("n").to_pylist(), strict=True):
+                np.add.at(per, classes_of(np.frombuffer(words, "<u8")), np.frombuffer(n, "<i8"))
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(CLASSES)), pa.array(per)], ["k", "n"])
+
+    per = np.zeros(CLASSES)
+    for r in chunks.select("vocabulary", "n").mapInArrow(tally, "k bigint, n bigint").groupBy("k").agg(F.sum("n").alias("n")).collect():  # CLASSES rows at most
+        per[r["k"]] = r["n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        of = _Classes(table)
         for batch in batches:
-            coded = [bytes(map(of.__getitem__, t.as_py().encode().split())) for t in batch.column("text")]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(coded, pa.binary())], ["doc_id", "classes"])
+            for i in range(batch.num_rows):
+                row = {c: batch.column(c)[i].as_py() for c in ("sizes", "at", "vocabulary", "counts")}
+                of = classes_of(np.frombuffer(row["vocabulary"], "<u8"))
+                n = np.frombuffer(b"".join(c["n"] for c in row["counts"] or []), "<i8")
+                share = np.where(of > OWN, np.log(n) - np.log(np.maximum(per[of], 1)), 0.0)  # a word with a class of its own is all of it
+                at, sizes = np.frombuffer(row["at"], "<i4"), np.array(row["sizes"], np.int64)
+                ends = np.cumsum(sizes)
+                owner = np.repeat(np.arange(len(sizes)), sizes)
+                raw = of.astype(np.uint8)[at].tobytes()
+                coded = [raw[z - s : z] for s, z in zip(sizes.tolist(), ends.tolist(), strict=True)]
+                doc_ids = batch.column("doc_ids")
+                yield pa.RecordBatch.from_arrays([doc_ids.slice(i, 1).flatten(), pa.array(coded, pa.binary()), pa.array(np.bincount(owner, share[at], len(sizes)))], ["doc_id", "classes", "within"])
+
+    back = totals.filter("chunk IS NOT NULL").groupBy("chunk").agg(F.sort_array(F.collect_list(F.struct("bucket", "n"))).alias("counts"))
+    whole = chunks.drop("n").join(back, "chunk", "left").select("doc_ids", "sizes", "at", "vocabulary", "counts")
+    kind = chunks.schema["doc_ids"].dataType.elementType.simpleString()
+    return staged(whole.mapInArrow(tidy(run), f"doc_id {kind}, classes binary, within double"), "lm-classes"), per
 
-    rows = docs.select("doc_id", text_of().alias("text"))
-    return staged(rows.mapInArrow(run, f"doc_id {dict(docs.dtypes)['doc_id']}, classes binary"), "lm-classes")
+
+def encode(docs: DataFrame, common: list[bytes]) -> DataFrame:
+    """Rows (doc_id, classes, within) of :func:`_coded`, ``common`` having classes of their own."""
+    chunks = _chunks(docs)
+    return _coded(chunks, _totals(chunks), S.words_of(common)[0])[0]
 
 
 class Network:
@@ -175,7 +278,7 @@ def score(coded: DataFrame, net: Network) -> DataFrame:
         for batch in batches:
             texts = [np.frombuffer(r.as_py(), np.uint8) for r in batch.column("classes")]
             sizes = np.array([len(t) for t in texts], np.int64)
-            sums = np.zeros(len(texts))
+            sums = np.zeros(len(texts))  # of log P(class | context)
             first = 0
             while first < len(texts):  # documents together up to a block; a longer one in blocks of its own
                 last, size = first, 0
@@ -188,6 +291,7 @@ def score(coded: DataFrame, net: Network) -> DataFrame:
                     owner = np.repeat(np.arange(last - first), sizes[first:last])
                     sums[first:last] = np.bincount(owner, lp, last - first)
                 first = last
+            sums += batch.column("within").to_numpy()
             mean = [s / n if n else None for s, n in zip(sums.tolist(), sizes.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes), pa.array(sums), pa.array(mean, pa.float64())], ["doc_id", "n_words", "log_prob", "mean_log_prob"])
 
@@ -195,13 +299,9 @@ def score(coded: DataFrame, net: Network) -> DataFrame:
 
 
 def fit(docs: DataFrame) -> tuple[DataFrame, Network]:
-    counts = staged(word_counts(docs), "lm-counts")
-    top = counts.orderBy(F.desc("n"), "word").limit(OWN).collect()
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    per = np.zeros(CLASSES)
-    per[1 : 1 + len(top)] = [r["n"] for r in top]
-    per[1 + OWN :] = max(total - per.sum(), 0) / SHARED
-    coded = encode(docs, [bytes(r["word"]) for r in top])
+    chunks = _chunks(docs)
+    totals = _totals(chunks)
+    coded, per = _coded(chunks, totals, _commonest(totals))
     return coded, train(coded, per)
 
 

@@ -41,7 +41,8 @@ def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _up, _down
 
 
-def _chunk(raws: list[bytes]) -> list[np.ndarray]:
+def words_of(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of every word of all texts, whose white space is blanks, and per text the number of its first word, and the end."""
     joined = b" ".join(raws) + b" "
     bytes_ = np.frombuffer(joined, np.uint8)
     gap = bytes_ == 32
@@ -51,9 +52,14 @@ def _chunk(raws: list[bytes]) -> list[np.ndarray]:
     with np.errstate(over="ignore"):
         total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[bytes_] * up[: len(bytes_)], dtype=np.uint64)])
         words = mix((total[ends] - total[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+    return words, np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])]))
+
+
+def _chunk(raws: list[bytes]) -> list[np.ndarray]:
+    words, edges = words_of(raws)
+    with np.errstate(over="ignore"):
         n = len(words) - WORDS + 1
         grams = mix(sum(words[i : i + n] * _PLACE[i] for i in range(WORDS))) if n > 0 else words[:0]
-        edges = np.searchsorted(starts, np.concatenate([[0], np.cumsum([len(r) + 1 for r in raws])]))
         out = []
         for lo, hi in zip(edges[:-1], edges[1:], strict=True):
             if hi - lo >= WORDS:
