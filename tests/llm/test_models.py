@@ -180,3 +180,14 @@ def test_language_model_scores_words_within_their_class(spark):
     score = {r["doc_id"]: r["log_prob"] for r in language_model.score(coded, net).collect()}
     context = language_model.windows(np.frombuffer(got[900]["classes"], np.uint8))
     assert abs(score[900] - net.log_probs(context, np.frombuffer(got[900]["classes"], np.uint8))[0] - np.log(1 / per[of["junkjunk"]])) < 1e-4
+
+
+def test_every_position_is_a_training_target_once():
+    rows = [bytes([1 + i % 9] * n) for i, n in enumerate([0, 1, 2, 3, 7, 8, 9, 500])]
+    for row in rows:
+        taught = [language_model.targets(row, r, language_model.ROUNDS) for r in range(language_model.ROUNDS)]
+        assert sum(len(t) for _, t in taught) == len(row) and all(len(c) == len(t) for c, t in taught)
+    c = np.arange(1, 60, dtype=np.uint8)
+    taught = [language_model.targets(c.tobytes(), r, language_model.ROUNDS) for r in range(language_model.ROUNDS)]
+    order = np.argsort(np.concatenate([t for _, t in taught]))
+    assert (np.concatenate([x for x, _ in taught])[order] == language_model.windows(c)).all()

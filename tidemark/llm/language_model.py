@@ -4,9 +4,9 @@ Words are counted over the whole corpus; the commonest get a class each, all oth
 log P(class | context) + log P(word | class): the second is the word's share of all tokens of its class, from the full table of word
 counts, which is never in one place (words go by 64-bit hashes to buckets, counts come back to the texts). A network of one
 hidden layer sees the classes of the two words before and the two after a masked position and predicts the class between.
-It is trained in numpy by local gradient descent: in every round each task starts from the common weights, walks over a
-hashed eighth of the positions of all its documents (another eighth each round), and the weights are averaged by the number of positions, so all
-of the corpus teaches and what is gathered grows with it. Scoring masks every position of every whole text in turn and sums log-probabilities.
+It is trained in numpy by local gradient descent: in every round each task starts from the common weights, walks over its
+share of the positions of all its documents (every other one of two rounds, where each text starts by a hash), and the weights are averaged
+by the number of positions. Over the rounds every position of every text is a target exactly once. Scoring masks every position of every whole text in turn and sums log-probabilities.
 
 Defined results: null and blank texts have no words: n_words 0, log_prob 0, mean_log_prob null; null ``doc_id`` and repeated
 rows are scored row by row; without any words the network is never asked; an empty table gives an empty result; other columns
@@ -33,7 +33,6 @@ CLASSES = 1 + OWN + SHARED
 OFFSETS = (-2, -1, 1, 2)
 HIDDEN = 16
 ROUNDS = 2
-ONE_IN = 8
 RATE, BATCH = 0.5, 256
 BLOCK = 32_768
 #: Characters of text whose words share a vocabulary, and counts that a bucket of words takes.
@@ -227,12 +226,18 @@ class Network:
             self.tables[j] -= rate * (one @ back)
 
 
-def windows(classes: np.ndarray) -> np.ndarray:
-    """The context of every position: a column per offset, 0 beyond the ends."""
+def windows(classes: np.ndarray, first: int = 0, step: int = 1) -> np.ndarray:
+    """The context of every position, or of every ``step``-th from ``first`` on: a column per offset, 0 beyond the ends."""
     reach = max(map(abs, OFFSETS))
     padded = np.zeros(len(classes) + 2 * reach, np.uint8)
     padded[reach : reach + len(classes)] = classes
-    return np.stack([padded[reach + o : reach + o + len(classes)] for o in OFFSETS], axis=1)
+    return np.stack([padded[reach + o : reach + o + len(classes)][first::step] for o in OFFSETS], axis=1)
+
+
+def targets(row: bytes, r: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and classes of the positions a text gives in round ``r``: each position in exactly one of the rounds."""
+    c, first = np.frombuffer(row, np.uint8), (zlib.crc32(row) + r) % rounds
+    return windows(c, first, rounds), c[first::rounds]
 
 
 def train(coded: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network:
@@ -244,12 +249,10 @@ def train(coded: DataFrame, counts: np.ndarray, rounds: int = ROUNDS) -> Network
             mine, seen, held, size = Network(start.copy()), 0, [], 0
             for batch in batches:
                 for row in batch.column("classes"):
-                    c = np.frombuffer(row.as_py(), np.uint8)
-                    shift = (zlib.crc32(row.as_py()) + r * 3) % ONE_IN  # which eighth of its positions a text gives
-                    at = np.arange(shift, len(c), ONE_IN)
-                    if len(at):
-                        held.append((windows(c)[at], c[at]))
-                        size += len(at)
+                    got = targets(row.as_py(), r, rounds)
+                    if len(got[1]):
+                        held.append(got)
+                        size += len(got[1])
                     if size >= BATCH:
                         context, target = (np.concatenate(x) for x in zip(*held, strict=True))
                         for a in range(0, len(target), BATCH):
