@@ -49,6 +49,16 @@ def near(rows):
     return [(i, len(sets[k]), least.get(find(k)) if sets[k] else i) for k, (i, _) in enumerate(rows)]
 
 
+def near_links(rows):
+    """Per row the number of other sets that its set links with."""
+    sets = []
+    for _, t in rows:
+        w = WORD.findall((t or "").translate(LOWER))
+        sets.append(frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)]) if w else frozenset())
+    others = {s: sum(100 * len(s & o) >= 75 * len(s | o) for o in set(sets) if o and o != s) for s in set(sets)}
+    return [(i, others[s] if s else 0) for (i, _), s in zip(rows, sets, strict=True)]
+
+
 PII = (
     ("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
     ("ip", r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"),

@@ -1,8 +1,9 @@
 import os
+import random
 from pathlib import Path
 
 import pytest
-from brute import exact, near
+from brute import exact, near, near_links
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, mixing, near_dedup, shingles
@@ -57,6 +58,23 @@ def test_near_groups_of_families_without_a_common_leader(spark):
     assert sorted(got) == sorted(near(rows))
 
 
+@pytest.mark.parametrize("block", [near_dedup.BLOCK_SETS, 7])
+def test_links_of_families(spark, monkeypatch, block):
+    """Near copies with one or two edited words, of several sizes: every link counts, whichever groups its sets are in."""
+    monkeypatch.setattr(near_dedup, "BLOCK_SETS", block)
+    rnd, rows = random.Random(3), []
+    for family, copies in enumerate([2, 5, 12, 30]):
+        base = [f"f{family}w{rnd.randrange(5000)}" for _ in range(220)]
+        for _ in range(copies):
+            text = list(base)
+            for _ in range(rnd.randint(1, 4)):
+                text[rnd.randrange(len(text))] = f"e{rnd.randrange(10**6)}"
+            rows.append((len(rows), " ".join(text)))
+    rows += [(500 + i, " ".join(f"c{k}" for k in range(4 * i, 4 * i + 60))) for i in range(12)] + [(700, rows[0][1]), (700, rows[0][1]), *ROWS]
+    got = [(r["doc_id"], r["n_links"]) for r in near_dedup.near_groups(frame(spark, rows)).collect()]
+    assert sorted(got, key=key) == sorted(near_links(rows), key=key)
+
+
 def test_keep_one_and_empty(spark):
     kept = near_dedup.keep_one(frame(spark, NEAR[:60]))
     assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == sorted({c for _, _, c in near(NEAR[:60])})

@@ -12,7 +12,10 @@ Exact sets of distinct five-word shingles; two documents link at a Jaccard simil
 3. Sets under one token become a star of pairs around their least key, never all pairs. Sizes and the Hamming distance of
    parity bits, two to four a shingle, a lower bound of the symmetric difference, discard pairs; whole sets verify the others.
 4. Components of verified links. Wherever sets under one token are still in different components, their pairs across components
-   are verified as well (after the same two bounds), so no link is lost.
+   are verified as well (after the same two bounds), so no component is lost.
+5. Links are counted, where asked for, within components: linked sets share one. The sets of a component, in order of size, form blocks; each
+   pair of blocks whose sizes allow a link is compared whole in one task, as a product of membership matrices, so that a set travels once a
+   pair of blocks and not once a pair of sets. A component of two has the one link that made it.
 
 Defined results: null text and text without words have no shingles, link with nothing and are their own component; fewer
 than five words are one shingle; repeated rows are rows of one class; a null ``doc_id`` takes part, but names a component only
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import shingles as S
@@ -41,6 +44,9 @@ FLUSH = 600_000
 SLICE = 500
 #: Up to this many representatives, their ids are broadcast; beyond it, texts and ids join by shuffle.
 BROADCAST_IDS = 2_000_000
+#: Sets of a component that are compared with as many others in one task, and shingles that a product takes at a time.
+BLOCK_SETS = 256
+BLOCK_GRAMS = 8192
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,11 +209,9 @@ def _sketches_fit():
     return 7 * apart <= F.col("na") + F.col("nb")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose whole sets link."""
-    spark = docs.sparkSession
-    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
-    reps = staged(wanted.join(classes.select("sig", "rep"), "sig").select(F.col("rep").alias("doc_id")).distinct(), "near-reps", light=True)
+def _sets_of(reps: DataFrame, docs: DataFrame) -> DataFrame:
+    """Rows (sig, grams) of the documents with the ids ``reps``: key and whole set."""
+    reps = staged(reps, "near-reps", light=True)
     few = reps.count() <= BROADCAST_IDS
     side = (F.broadcast(reps) if few else reps).withColumnRenamed("doc_id", "__id")
     texts = docs.select("doc_id", "text").join(side, F.col("doc_id").eqNullSafe(F.col("__id")), "left_semi").select("text")
@@ -217,7 +221,13 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
             sets = [s for s in S.shingle_sets(batch.column("text").to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays([pa.array([S.class_key(s) for s in sets], pa.int64()), pa.array([s.tobytes() for s in sets], pa.binary())], ["sig", "grams"])
 
-    sets = texts.mapInArrow(tidy(run), "sig bigint, grams binary")  # both joins below read one shuffle of it
+    return texts.mapInArrow(tidy(run), "sig bigint, grams binary")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose whole sets link."""
+    wanted = pairs.select(F.col("a").alias("sig")).unionByName(pairs.select(F.col("b").alias("sig"))).distinct()
+    sets = _sets_of(wanted.join(classes.select("sig", "rep"), "sig").select(F.col("rep").alias("doc_id")).distinct(), docs)  # both joins below read one shuffle of it
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -235,8 +245,63 @@ def verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame
     return staged(whole.select("a", "b", "x", "y").mapInArrow(check, "a bigint, b bigint").distinct(), "near-links", light=True)
 
 
-def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, n_links (verified links of its class)."""
+def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """How many shingles each set of ``left`` shares with each of ``right``."""
+    sets = [*left, *right]
+    grams, at = np.unique(np.concatenate(sets), return_inverse=True)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    inside = owner < len(left)
+    both = (np.bincount(at[inside], minlength=len(grams)) > 0) & (np.bincount(at[~inside], minlength=len(grams)) > 0)
+    keep, place = both[at], np.cumsum(both) - 1
+    owner, at = owner[keep], place[at[keep]]
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    out = np.zeros((len(left), len(right)), np.float64)
+    for low in range(0, int(both.sum()), BLOCK_GRAMS):
+        a, z = np.searchsorted(at, [low, low + BLOCK_GRAMS])
+        there = np.zeros((len(sets), BLOCK_GRAMS), np.float32)
+        there[owner[a:z], at[a:z] - low] = 1
+        out += there[: len(left)] @ there[len(left) :].T
+    return out
+
+
+def link_counts(tied: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+    """Stored rows (sig, n_links) of every class that links: all links, from whole sets."""
+    size = tied.groupBy("component").agg(F.count("*").alias("m"))
+    placed = tied.withColumnRenamed("node", "sig").join(size, "component").join(classes.select("sig", "rep", "n"), "sig")
+    placed = staged(placed, "near-members")
+    large = placed.filter("m > 2")
+    # a component in blocks by size: all ranks of a component are made in one task, of a few numbers a row
+    rank = F.row_number().over(Window.partitionBy("component").orderBy("n", "sig")) - 1
+    blocked = staged(large.withColumn("block", F.floor(rank / BLOCK_SETS).cast("int")), "near-blocks", light=True)
+    spans = blocked.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
+    one, two = (spans.select("component", F.col("block").alias(x), F.col("low").alias(f"low{x}"), F.col("high").alias(f"high{x}")) for x in ("i", "j"))
+    meet = one.join(two, "component").filter("i <= j AND 4 * highi >= 3 * lowj").select("component", "i", "j")
+    sides = meet.select("component", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
+    jobs = blocked.join(sides, ["component", "block"]).select("sig", "component", "i", "j", "block")
+    sets = _sets_of(blocked.select(F.col("rep").alias("doc_id")).distinct(), docs)
+    # a repeated doc_id can bring a set more than once
+    jobs = jobs.join(sets, "sig").groupBy("component", "i", "j", "block", "sig").agg(F.first("grams").alias("grams"))
+
+    def run(table: pa.Table) -> pa.Table:
+        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
+        block = table.column("block").to_numpy()
+        sigs, grams = table.column("sig").to_numpy(), [np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")]
+        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+        both = _shared_counts([grams[k] for k in left], [grams[k] for k in right])
+        size = np.array([len(g) for g in grams], np.float64)
+        linked = 100 * both >= 75 * (size[left][:, None] + size[right][None, :] - both)
+        if i == j:
+            np.fill_diagonal(linked, False)
+            return pa.table({"sig": sigs[left], "n_links": linked.sum(axis=1).astype(np.int64)})
+        return pa.table({"sig": np.concatenate([sigs[left], sigs[right]]), "n_links": np.concatenate([linked.sum(axis=1), linked.sum(axis=0)]).astype(np.int64)})
+
+    counted = jobs.groupBy("component", "i", "j").applyInArrow(run, "sig bigint, n_links bigint").groupBy("sig").agg(F.sum("n_links").alias("n_links"))
+    return staged(placed.filter("m = 2").select("sig", F.lit(1).cast("long").alias("n_links")).unionByName(counted), "near-degrees", light=True)
+
+
+def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL, count_links: bool = True) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id and, unless not wanted, n_links (all other classes that its class links with)."""
     light, weight = profile(docs)
     classes = staged(light.filter("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "near-classes")
     stars = candidate_stars(docs, weight, int(weight.sum()), hot_cell)
@@ -256,17 +321,18 @@ def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL) -> DataFrame:
         more = verified(staged(_within_bounds(across, classes), "near-pairs", light=True), docs, classes)
         links = links.unionByName(more)
         tied = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-    degree = links.select(F.col("a").alias("sig")).unionByName(links.select(F.col("b").alias("sig"))).groupBy("sig").count().withColumnRenamed("count", "n_links")
     named = classes.select("sig", "rep").join(tied.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
-    of_class = named.join(least, "component").join(degree, "sig", "left").select("sig", "component_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    of_class = named.join(least, "component").select("sig", "component_id")
+    if count_links:
+        of_class = of_class.join(link_counts(tied, docs, classes), "sig", "left")
     out = light.select("doc_id", "n", "sig").join(of_class, "sig", "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("sig").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), *([F.coalesce("n_links", F.lit(0)).alias("n_links")] if count_links else []))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose component has a smaller ``doc_id``; rows that repeat the staying id stay once."""
-    groups = near_groups(docs).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
+    groups = near_groups(docs, count_links=False).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
     gone = staged(groups.select(F.col("doc_id").alias("__id")).distinct(), "near-gone", light=True)
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
 
