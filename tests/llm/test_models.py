@@ -191,3 +191,24 @@ def test_every_position_is_a_training_target_once():
     taught = [language_model.targets(c.tobytes(), r, language_model.ROUNDS) for r in range(language_model.ROUNDS)]
     order = np.argsort(np.concatenate([t for _, t in taught]))
     assert (np.concatenate([x for x, _ in taught])[order] == language_model.windows(c)).all()
+
+
+def test_neighbouring_numbers_are_proposed_apart(spark):
+    """Runs of more digits than any kind has: their groups are candidates of their own, and valid cards are selected."""
+    rnd = random.Random(12)
+
+    def card():
+        n = "".join(str(rnd.randrange(10)) for _ in range(15))
+        return next(n + c for c in "0123456789" if sum(v - 9 * (v > 9) for v in (int(x) * (1 + j % 2) for j, x in enumerate(reversed(n + c)))) % 10 == 0)
+
+    def laid(n, i):
+        return ["", " ", "-"][i % 3].join(n[k : k + 4] for k in range(0, 16, 4))
+
+    rows = [(i, f"{'card' if i % 2 else 'paid'} {laid(card(), i)} and {'visa' if i % 5 else ''} {laid(str(rnd.randrange(10**15, 10**16)), i // 3)} or {'x' * (i % 2)}{rnd.randrange(10 ** (12 + i % 7))} at +1 ({rnd.randrange(200, 999)}) 555-{rnd.randrange(1000, 9999)} and 10.{rnd.randrange(256)}.3.{rnd.randrange(300)}") for i in range(300)]
+    pair = "7536784127813050 4845168114407329"
+    rows += [(900, f"see {pair} there"), (901, "é " + " ".join(card() for _ in range(9)) + " end")]
+    found = {r["doc_id"]: r["spans"].split(",") for r in _pii(spark, rows)}
+    assert {"card:4:20", "card:21:37"} <= set(found[900])
+    assert {f"card:{2 + 17 * k}:{18 + 17 * k}" for k in range(9)} <= set(found[901])
+    masked = {r["doc_id"]: r["text"] for r in pii.redact(frame(spark, rows)).collect()}
+    assert masked[900].replace("*", "").split() == ["see", "there"]

@@ -3,10 +3,11 @@
 1. Base detectors find the four contract kinds. Patterns that nest repetition are rewritten over a marked copy of the text
    (a separator that joins two digits, or two domain characters, becomes one reserved character), so that each is a
    single character run: linear, without the stack that nested groups need on very long texts.
-2. High-recall generators propose overlapping spans: digit groups of any layout, each as ip, card and phone, and
-   addresses with ``@`` or a spelled ``at``. Spans are found by code point, from the lengths between matches.
+2. High-recall generators propose overlapping spans: number runs of any layout and, inside and across them, each window of consecutive
+   digit groups whose digits fit a kind, as ip, card and phone, and addresses with ``@`` or a spelled ``at``. Spans are found by code point, from the lengths between matches.
 3. Each candidate gets format and context features, as small whole numbers. Weak labels come from the base detectors: a
-   candidate on a base span of its kind is positive, one on a span of another kind or one that breaks its kind's checks is negative,
+   candidate on a base span of its kind is positive; a number that meets one with other ends is neither used nor added; one on a span of another kind or one that breaks its
+   kind's checks is negative,
    all others are unlabelled. Counts by feature pattern, a table whose size the features bound, go to the driver, where
    boosted trees are fitted; the trees come back as CASE expressions.
 4. A threshold per kind, the lowest at which weak labels have the wanted precision, selects the spans added to the base ones.
@@ -41,6 +42,7 @@ _IP = r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = rf"[0-9{_JOIN}]{{13,}}+"
 _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 _NUMBER = r"[+(]{0,2}[0-9][0-9 ().,-]{5,40}[0-9]"
+_REACH = 44  # characters of the longest run, and of the longest window of digit groups
 _ADDRESS = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+(?:@|\x20?[\[(]at[\])]\x20?)[A-Za-z0-9.-]{1,64}(?:\x20?[\[(]dot[\])]\x20?[A-Za-z0-9-]{1,32}){0,4}"
 _OCTET = r"0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
@@ -97,18 +99,51 @@ def base_spans(text: Column) -> dict[str, Column]:
     }
 
 
+def _let(value: Column, use) -> Column:
+    """``use(value)``, the value being computed once."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
+def _numbers(text: Column, run: Column) -> Column:
+    """The run and the windows of consecutive digit groups (7 to 19 digits) that start in it, as (s, e, m, before, around).
+
+    Windows may reach beyond the run's end. A group that a run's limit cut is whole here: its first part reads on, its second
+    part starts no window. All is read off the text near the run, cut out once.
+    """
+    skip = F.greatest(run["s"] - 42, F.lit(0))
+    near = F.struct(skip.alias("skip"), (run["s"] - skip).alias("s"), (run["e"] - skip).alias("e"), F.substring(text, skip + 1, run["e"] - skip + _REACH + 1).alias("t"))
+
+    def span(x: Column, s: Column, e: Column) -> Column:
+        around = F.concat(F.substring(x["t"], F.greatest(s, F.lit(1)), F.least(s, F.lit(1))), F.lit(" "), F.substring(x["t"], e + 1, F.lit(1)))
+        before = F.substring(x["t"], F.greatest(s - 39, F.lit(1)), F.least(s, F.lit(40)))
+        return F.struct((s + x["skip"]).alias("s"), (e + x["skip"]).alias("e"), F.substring(x["t"], s + 1, e - s).alias("m"), before.alias("before"), around.alias("around"))
+
+    def windows(x: Column) -> Column:
+        inside = F.regexp_extract(F.substring(x["t"], x["s"] + 1, F.lit(2 * _REACH + 1)), r"^[0-9 ().,+-]*", 0)
+        cut = F.substring(x["t"], F.greatest(x["s"], F.lit(1)), F.least(x["s"], F.lit(1))).rlike("[0-9]")
+        groups = F.filter(F.transform(find_spans(inside, "[0-9]+"), lambda g: F.struct((g["s"] + x["s"]).alias("s"), (g["e"] + x["s"]).alias("e"), F.length(g["m"]).alias("n"))), lambda g: ~(cut & (g["s"] == x["s"])))
+
+        def starting(gs: Column, a: Column) -> Column:
+            signs = F.length(F.regexp_extract(F.substring(x["t"], F.greatest(a["s"] - 1, F.lit(1)), F.least(a["s"], F.lit(2))), r"[+(]{0,2}$", 0))
+            ends = F.filter(gs, lambda b: (b["s"] >= a["s"]) & (b["e"] - a["s"] <= _REACH) & (F.aggregate(gs, F.lit(0), lambda n, g: n + F.when((g["s"] >= a["s"]) & (g["s"] <= b["s"]), g["n"]).otherwise(0)).between(7, 19)))
+            return _let(a["s"] - signs, lambda start: F.transform(ends, lambda b: span(x, start, b["e"])))
+
+        return _let(groups, lambda gs: F.flatten(F.transform(F.filter(gs, lambda a: a["s"] < x["e"]), lambda a: starting(gs, a))))
+
+    return _let(near, lambda x: F.array_distinct(F.concat(F.array(span(x, x["s"], x["e"])), windows(x))))
+
+
 def candidates(text: Column) -> Column:
     """Array of proposed spans with what the features need: kind number, s, e and the features of FEATURES."""
     none = F.array().cast(_SPAN)
-    numbers = F.when(text.rlike("[0-9]"), find_spans(text, _NUMBER)).otherwise(none)
-    addresses = F.when(text.rlike(r"@|[\[(]at[\])]"), find_spans(text, _ADDRESS)).otherwise(none)
+    numbers = F.col("numbers")
+    addresses = F.transform(F.when(text.rlike(r"@|[\[(]at[\])]"), find_spans(text, _ADDRESS)).otherwise(none), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["m"].alias("m"), F.substring(text, F.greatest(x["s"] - 39, F.lit(1)), F.least(x["s"], F.lit(40))).alias("before"), F.concat(F.substring(text, F.greatest(x["s"], F.lit(1)), F.least(x["s"], F.lit(1))), F.lit(" "), F.substring(text, x["e"] + 1, F.lit(1))).alias("around")))
     flag = lambda c: F.coalesce(c, F.lit(False)).cast("int")
 
     def proposal(x: Column, kind: int) -> Column:
         digits = digits_of(x["m"])
         groups = F.filter(F.split(x["m"], "[^0-9]+"), lambda g: g != "")
-        before = F.lower(F.substring(text, F.greatest(x["s"] - 39, F.lit(1)), F.least(x["s"], F.lit(40))))
-        around = F.concat(F.substring(text, F.greatest(x["s"], F.lit(1)), F.least(x["s"], F.lit(1))), F.lit(" "), F.substring(text, x["e"] + 1, F.lit(1)))
+        before, around = F.lower(x["before"]), x["around"]
         n = F.length(digits)
         return F.struct(
             F.lit(kind).alias("kind"), x["s"].alias("s"), x["e"].alias("e"),
@@ -138,7 +173,9 @@ def _covers(spans: Column, c: Column) -> Column:
 
 def _span_rows(docs: DataFrame) -> DataFrame:
     text = F.col("text")
-    rows = docs.select("doc_id", text_of().alias("text")).select("doc_id", "text", *[v.alias(k) for k, v in base_spans(text).items()], candidates(text).alias("proposed"))
+    runs = F.when(text.rlike("[0-9]"), find_spans(text, _NUMBER)).otherwise(F.array().cast(_SPAN))
+    rows = docs.select("doc_id", text_of().alias("text")).withColumn("numbers", F.flatten(F.transform(runs, lambda r: _numbers(text, r))))
+    rows = rows.select("doc_id", "text", *[v.alias(k) for k, v in base_spans(text).items()], candidates(text).alias("proposed"))
     slim = [F.transform(F.col(k), lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"))).alias(k) for k in KINDS]
     return rows.select("doc_id", "text", *slim, "proposed")
 
@@ -148,14 +185,27 @@ def span_table(docs: DataFrame) -> DataFrame:
     return staged(_span_rows(docs).drop("text"), "pii-spans")
 
 
+def _agrees(spans: Column, c: Column) -> Column:
+    """A base span with the candidate's ends, but for signs before the first digit; addresses need only meet."""
+    return F.exists(spans, lambda b: (b["s"] < c["e"]) & (c["s"] < b["e"]) & ((c["kind"] == 0) | ((b["e"] == c["e"]) & (F.abs(b["s"] - c["s"]) <= 2))))
+
+
+def _met(c: Column) -> Column:
+    """Whether the candidate meets a base span of its own kind."""
+    met = F.lit(False)
+    for k, name in enumerate(KINDS):
+        met = met | ((c["kind"] == k) & _covers(F.col(name), c))
+    return met
+
+
 def _label(c: Column) -> Column:
     """1, 0 or null, from the base spans."""
     own, other = F.lit(False), F.lit(False)
     for k, name in enumerate(KINDS):
-        own = own | ((c["kind"] == k) & _covers(F.col(name), c))
+        own = own | ((c["kind"] == k) & _agrees(F.col(name), c))
         other = other | ((c["kind"] != k) & _covers(F.col(name), c))
     broken = F.when(c["kind"] == 1, c["octets"] == 0).when(c["kind"] == 2, (c["luhn"] == 0) | (c["digits"] < 13)).when(c["kind"] == 3, (c["digits"] < 9) | ((c["groups"] == 1) & (c["ctx"] == 0))).otherwise(F.lit(False))
-    return F.when(own, 1).when(other | broken | (c["edge"] == 1), 0)
+    return F.when(own, 1).when(_met(c), F.lit(None).cast("int")).when(other | broken | (c["edge"] == 1), 0)
 
 
 class SpanModel:
@@ -206,7 +256,7 @@ class SpanModel:
         """Per kind the array of selected spans that meet no base span."""
         if self.trees is None:
             return {k: F.array().cast("array<struct<s:int,e:int>>") for k in KINDS}
-        scored = F.transform("proposed", lambda c: F.struct(c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), self.log_odds(c).alias("z"), (_label(c).isNull()).alias("free")))
+        scored = F.transform("proposed", lambda c: F.struct(c["kind"].alias("kind"), c["s"].alias("s"), c["e"].alias("e"), self.log_odds(c).alias("z"), (_label(c).isNull() & ~_met(c)).alias("free")))
 
         def chosen(k: int) -> Column:
             enough = F.lit(False) if np.isinf(self.least[k]) else None
