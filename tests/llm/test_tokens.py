@@ -91,3 +91,15 @@ def test_neighbours_share_words(spark):
     for p in packing.pack(frame(spark, rows, 1), WORDS).collect():
         together.setdefault(p["sequence_id"], set()).add(p["doc_id"] % 2)
     assert sum(len(s) == 1 for s in together.values()) > 0.7 * len(together)
+
+
+def test_store_finds_a_key_in_one_shard(spark, monkeypatch):
+    monkeypatch.setattr(idstore, "SHARD_DOCS", 2)
+    manifest = idstore.write_store(frame(spark, ROWS), BYTE, 0)
+    store, opened, shard = idstore.Store(manifest), [], idstore.Shard
+    assert manifest.count() > 2
+    monkeypatch.setattr(idstore, "Shard", lambda uri: opened.append(uri) or shard(uri))
+    for key, text in ((3, ROWS[0][1]), (1, None), (9, ROWS[6][1]), (-5, ROWS[7][1]), (2, "")):
+        opened.clear()
+        assert store.get(key).tolist() == ids_of(BYTE, text, 0) and len(opened) == 1
+    assert store.get(-6) is None and store.get(10) is None and store.get(4) is None

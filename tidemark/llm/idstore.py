@@ -21,6 +21,7 @@ import json
 import os
 import struct
 import zlib
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import numpy as np
@@ -166,7 +167,10 @@ class Shard:
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, space_joins: bool = True, root: str | None = None) -> DataFrame:
-    """Write the shards; returns the stored manifest: part, shard, uri, n_docs, n_ids, ids_before."""
+    """Write the shards; returns the stored manifest: part, shard, uri, n_docs, n_ids, first_key, last_key, ids_before.
+
+    Keys ascend over the shards, so a shard's first and last known key (null without any) lead :class:`Store` straight to it.
+    """
     spark = docs.sparkSession
     root = root or scratch_path(spark, "ids")
 
@@ -180,7 +184,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, space_joins:
         def close() -> None:
             nonlocal out, shard
             out.close()
-            done.append((part, shard, f"{root}/part-{part:06d}-{shard:05d}", len(out.keys), out.ids))
+            known = [k for k in out.keys if k is not None]
+            done.append((part, shard, f"{root}/part-{part:06d}-{shard:05d}", len(out.keys), out.ids, min(known, default=None), max(known, default=None)))
             out, shard = None, shard + 1
 
         for batch in batches:
@@ -191,18 +196,31 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, space_joins:
                     close()
         if out:
             close()
-        names = ["part", "shard", "uri", "n_docs", "n_ids"]
-        cols = list(zip(*done, strict=True)) or [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()], strict=True)], names)
+        names = ["part", "shard", "uri", "n_docs", "n_ids", "first_key", "last_key"]
+        cols = list(zip(*done, strict=True)) or [[]] * 7
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()], strict=True)], names)
 
     rows = docs.select("doc_id", text_of().alias("text"))
     dealt = rows.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
-    manifest = staged(dealt.mapInArrow(tidy(write), "part int, shard int, uri string, n_docs bigint, n_ids bigint"), "ids-manifest")
+    manifest = staged(dealt.mapInArrow(tidy(write), "part int, shard int, uri string, n_docs bigint, n_ids bigint, first_key bigint, last_key bigint"), "ids-manifest")
     # A row per shard: the only thing summed in one place, about a millionth of the payload.
     before = F.sum("n_ids").over(Window.orderBy("part", "shard").rowsBetween(Window.unboundedPreceding, -1))
     return manifest.withColumn("ids_before", F.coalesce(before, F.lit(0)))
 
 
+class Store:
+    """Keyed access over all shards: the manifest's key ranges, a row per shard, name the shard, and its hash the row."""
+
+    def __init__(self, manifest: DataFrame):
+        rows = manifest.filter("first_key IS NOT NULL").select("first_key", "last_key", "uri").orderBy("last_key", "part", "shard").collect()
+        self.rows, self.last = rows, [r["last_key"] for r in rows]
+
+    def get(self, key: int) -> np.ndarray | None:
+        """The ids of the first row with this key; only one shard is opened."""
+        k = bisect_left(self.last, key)
+        return Shard(self.rows[k]["uri"]).get(key) if k < len(self.rows) and self.rows[k]["first_key"] <= key else None
+
+
 def read_store(manifest: DataFrame) -> DataFrame:
     """Every document, found by key in its shard: doc_id, start, n_tokens, ids_crc32."""
 
