@@ -43,6 +43,9 @@ def test_direction_needs_a_decisive_move(spark):
     assert turn(8.0, 100.0, 800.0) == 8.0
     assert turn(8.0, 100.0, 100.0) == 8.0
     assert turn(8.0, 0.0, 100.0) == 8.0
+    counts = spark.createDataFrame([(8.0, 0.0, 0.0), (8.0, 0.0, 5.0), (8.0, 5.0, 0.0), (8.0, None, 5.0), (8.0, 800.0, 100.0)] * 3, "r double, a double, b double")
+    got = counts.select(scalars.corrected_ratio(F.col("r"), F.col("a"), F.col("b")).alias("x")).collect()
+    assert [g["x"] for g in got] == [8.0, 8.0, 8.0, 8.0, 0.125] * 3
 
 
 def test_weeks_and_padding(spark):

@@ -65,6 +65,6 @@ def item_events(items: Column, names: dict[str, str]) -> Column:
 
 def corrected_ratio(ratio: Column, before: Column, after: Column) -> Column:
     """A split ratio turned round where the share count clearly moved the other way; unchanged where it cannot be told."""
-    observed = after / before
-    turned = F.abs(F.ln(observed * ratio)) < F.abs(F.ln(observed / ratio)) - F.ln(F.lit(2.0))
-    return F.when((before > 0) & (after > 0) & turned, 1 / ratio).otherwise(ratio)
+    observed = F.try_divide(after, before)  # the guard below does not hold for subexpressions that are computed once, ahead of it
+    turned = F.abs(F.ln(observed * ratio)) < F.abs(F.ln(F.try_divide(observed, ratio))) - F.ln(F.lit(2.0))
+    return F.when((before > 0) & (after > 0) & turned, F.try_divide(F.lit(1.0), ratio)).otherwise(ratio)
