@@ -133,3 +133,30 @@ def test_without_repeats(spark):
     df = spark.createDataFrame([("u", 1, "a"), ("u", 2, "a"), ("u", 3, None), ("u", 4, None), ("u", 5, "a")], "u string, i int, t string")
     assert [r["i"] for r in diff.without_repeats(df, ["u"], ["i"], ["t"]).orderBy("i").collect()] == [1, 3, 5]
     assert df.filter(F.col("t").isNull()).count() == 2
+
+
+def test_a_log_that_mixes_stamped_and_unstamped_events_is_refused(spark):
+    def log(*seqs):
+        return spark.createDataFrame([(dt.date(2026, 1, 2), "added", None, s) for s in seqs], "date date, event string, previous string, seq long")
+
+    for seqs in ((0, 1), (None, None)):
+        pit.require_valid(log(*seqs), "2026-01-01")
+    with pytest.raises(PitBuildError, match="position"):
+        pit.require_valid(log(0, None), "2026-01-01")
+
+
+def test_many_days_at_once_are_the_days_one_by_one(spark):
+    current, rows, _ = _random_history(4)
+    now = spark.createDataFrame([(k, v) for k, v in current.items()] or [("z", "0")], "k string, record string").filter("k <> 'z'")
+    events = spark.createDataFrame([(k, d, s, {"added": None, "removed": v, "changed": p}[e]) for k, d, s, e, v, p in rows], "k string, date date, seq long, pre string")
+    days = ["2025-12-31", "2026-01-04", "2026-01-09", "2026-02-01"]
+    together = sorted((str(r["day"]), r["k"], r["record"]) for r in pit.members_on(now, events, ["k"], days).collect())
+    assert together == sorted((d, r["k"], r["record"]) for d in days for r in pit.members_asof(now, events, ["k"], d).collect())
+    intervals = pit.build_intervals(now, events, ["k"], "2025-12-31")
+    assert sorted((str(r["day"]), r["k"], r["record"]) for r in pit.as_of_days(intervals, days).collect()) == together
+
+
+def test_an_event_of_a_retired_source_is_about_its_whole_record(spark):
+    rows = spark.createDataFrame([("s", ("a", "1")), ("s", ("a", "2")), ("old", ("a", "1")), ("old", ("a", "2")), ("old", ("a", "2"))], f"source string, record {REC}")
+    keys = [r["k"] for r in rows.select(diff.entity_key(F.col("source"), F.col("record"), {"s": ["k"]}).alias("k")).collect()]
+    assert keys[0] == keys[1] and keys[2] != keys[3] == keys[4] and len(set(keys)) == 3

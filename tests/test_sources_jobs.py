@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tidemark import schemas, specs
 from tidemark.errors import FetchError, PitBuildError, PolicyError, RefusalError
-from tidemark.operators import flags, quality
+from tidemark.operators import flags, matching, quality
 from tidemark.plans import cli, jobs
 from tidemark.sources import landing, publish, scans
 
@@ -187,6 +187,106 @@ def test_corporate_actions_publish_then_refuse(spark, tmp_path):
     assert publish.read_manifest(tmp_path / "corporate_actions")["tickers_failed"] == ["aaa", "zzz"]
 
 
+def test_dividends_are_a_listed_table(spark, tmp_path):
+    item = {"start": "2023-01-01", "end": "2023-03-31", "val": 0.5, "filed": "2023-05-01"}
+    doc = json.dumps({"cik": 3, "facts": {"us-gaap": {specs.DPS_TAGS[0]: {"units": {"USD/shares": [item]}}}}})
+    docs = spark.read.schema(schemas.COMPANY_FACTS).json(spark.sparkContext.parallelize([doc]))
+    asked, lookup = spark.createDataFrame([("aaa",)], "ticker string"), spark.createDataFrame([("AAA", 3)], "ticker string, cik bigint")
+    folder = tmp_path / "corporate_actions"
+    for _ in range(2):
+        jobs.corporate_actions(spark, tmp_path, asked, lookup, docs, asked.selectExpr("ticker", "'ok' status"))
+        listed = [f for f in publish.read_manifest(folder)["files"] if f["name"].startswith("dividends.parquet/")]
+        assert sum(f["rows"] for f in listed) == 1 and publish.read_table(spark, folder, "dividends.parquet").count() == 1
+    assert sorted(p.name for p in folder.iterdir()) == ["dividends.parquet", "manifest.json", "splits.jsonl"]
+    next((folder / "dividends.parquet").glob("part-*")).write_bytes(b"x")
+    with pytest.raises(RefusalError):
+        publish.read_table(spark, folder, "dividends.parquet")
+
+
+def test_outcomes_come_from_downloads(spark, tmp_path):
+    class Web:
+        def get(self, url):
+            n = int(url.rsplit("CIK", 1)[1].split(".")[0])
+            if n == 2:
+                raise FetchError("gone", not_found=True)
+            if n in (3, 4):
+                raise OSError("reset" if n == 3 else "server said 404")
+            return json.dumps({"cik": n, "facts": {}}).encode()
+
+    got = jobs.land_documents(Web(), [1, 2, 3, 4], cli.FACTS_URL, tmp_path / "f", lambda _: None)
+    assert got == {"ok": [1], "not_found": [2, 4], "failed": [3]} and json.loads((tmp_path / "f/outcome.json").read_text()) == got
+    asked = spark.createDataFrame([("a",), ("b",), ("c",), ("d",)], "ticker string")
+    lookup = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "ticker string, cik bigint")
+    docs = spark.read.schema(schemas.COMPANY_FACTS).option("multiLine", True).json(cli._documents(tmp_path / "f"))
+    failed = spark.createDataFrame([(c,) for c in cli._failed(tmp_path / "f")], "cik bigint")
+    outcomes = jobs.fetch_outcomes(asked, matching.resolve_symbols(asked, lookup), docs, failed)
+    assert {r["ticker"]: r["status"] for r in outcomes.collect()} == {"A": "ok", "B": "not_found", "C": "failed"}
+    with pytest.raises(RefusalError):
+        jobs.corporate_actions(spark, tmp_path, asked, lookup, docs, outcomes)
+
+
+def test_the_first_known_spelling_answers_even_with_nothing(spark):
+    lookup = spark.createDataFrame([("B-C", 5, 0), ("B C", 0, 1), ("D", 4, 0), ("D", 2, 1)], "ticker string, cik bigint, o int")
+    asked = spark.createDataFrame([("b c",), ("b.c",), ("d",)], "ticker string")
+    assert {r["ticker"]: r["cik"] for r in matching.resolve_symbols(asked, lookup, order="o").collect()} == {"B.C": 5, "D": 2}
+
+
+def test_a_sweep_publishes_in_steps_and_resumes(spark, tmp_path, monkeypatch):
+    lines = [json.dumps({"cik": str(c), "filings": {"recent": {"form": ["25"], "filingDate": ["2026-01-01"], "accessionNumber": [f"a{c}"], "items": [""]}}}) for c in range(1, 6)]
+    payloads = spark.read.schema(schemas.SUBMISSIONS).json(spark.sparkContext.parallelize(lines))
+    assert jobs.collect_events(spark, tmp_path, payloads, [], "2026-01-07", limit=1) == 1
+    published, stop = publish.publish, []
+
+    def breaks_off(*args, **kwargs):
+        if len(stop) == 1:
+            raise OSError("killed")
+        stop.append(1)
+        return published(*args, **kwargs)
+
+    monkeypatch.setattr(publish, "publish", breaks_off)
+    with pytest.raises(OSError):
+        jobs.collect_events(spark, tmp_path, payloads, [], "2026-01-07", every=2)
+    monkeypatch.undo()
+    assert json.loads((tmp_path / "events/.progress.json").read_text())["done"] == [1, 2, 3]
+    assert publish.read_verified(spark, tmp_path / "events", "events.jsonl.gz", schemas.FLAGGED_EVENTS).count() == 3
+    assert jobs.collect_events(spark, tmp_path, payloads, [], "2026-01-07", every=2) == 5
+
+
+def test_first_observed_must_be_dates(tmp_path):
+    for good, value in ((True, {"s": "2026-01-01"}), (True, None), (False, {"s": "2026-1-1"}), (False, {"s": 5}), (False, {"s": "soon"})):
+        publish.publish(tmp_path, {"a": b"1"}, [], "n", extra={"first_observed": value})
+        if good:
+            assert jobs.first_observed(tmp_path) == (value or {})
+        else:
+            with pytest.raises(PitBuildError):
+                jobs.first_observed(tmp_path)
+
+
+def test_commands_from_landing_to_events(spark, tmp_path, monkeypatch):
+    """Directories, intervals, facts and filings through the command line, with a double for the network."""
+    class Web:
+        def get(self, url):
+            if "submissions" in url or "companyfacts" in url:
+                n = int(url.rsplit("CIK", 1)[1].split(".")[0])
+                recent = {"form": ["25"], "filingDate": ["2026-01-01"], "accessionNumber": [f"a{n}"], "items": [""]}
+                return json.dumps({"cik": str(n), "filings": {"recent": recent}} if "submissions" in url else {"cik": n, "facts": {}}, indent=1).encode()
+            return (raw / f"{next(n for n, s in specs.SOURCES.items() if s.url == url)}.raw").read_bytes()
+
+    raw, data, landed = tmp_path / "raw", str(tmp_path / "data"), str(tmp_path / "landed")
+    land(raw)
+    monkeypatch.setattr(cli, "session", lambda: spark)
+    run = lambda *args: cli.main([*args, "--data-dir", data], Web())
+    assert run("land-directories", "--landed", landed, "--agent", "me") == 0
+    assert run("snapshot-symbols", "--landed", landed) == 0
+    assert run("build-pit") == 1  # nothing has changed yet
+    assert run("land-submissions", "--landed", f"{landed}/filers", "--agent", "me", "--limit", "1") == 0
+    assert run("collect-events", "--landed", f"{landed}/filers") == 0
+    assert publish.read_manifest(Path(data) / "events")["files"][0]["rows"] == 1
+    assert run("land-facts", "5", "--landed", f"{landed}/facts", "--agent", "me") == 0
+    assert run("corporate-actions", "--landed", f"{landed}/facts", "--all-listed") == 0
+    assert run("staleness", f"{data}/symbols/current", "--max-age-days", "1") == 0 and run("staleness", f"{data}/gone", "--max-age-days", "1") == 1
+
+
 def test_mirror_keeps_policy(spark, tmp_path):
     folder = tmp_path / "archive" / "ticker_trends"
     folder.mkdir(parents=True)

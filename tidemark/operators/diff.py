@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Characters of the order key that divide a batch into ranges for numbering.
+PREFIX = 2
+
 
 def last_wins(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per key: the last in ``order``. Aggregates before the shuffle, unlike a ranking window."""
@@ -40,24 +43,48 @@ def snapshot_diff(previous: DataFrame, current: DataFrame, keys: list[str], sour
     ).filter("event IS NOT NULL")
 
 
-def append_batch(log: DataFrame, batch: DataFrame, entity: list[str]) -> DataFrame:
-    """New events as rows to append: those identical, but for the date, to their entity's latest logged event are dropped.
+def entity_key(source: Column, record: Column, keys: dict[str, list[str]]) -> Column:
+    """What an event is about, as text: its source's key fields, or the whole record for a source that is no longer known."""
+    known = F.lit(None).cast("string")
+    for name, fields in keys.items():
+        known = F.when(source == name, F.to_json(F.struct(*[record[f].alias(f) for f in fields]))).otherwise(known)
+    return F.concat_ws("\x1f", source, F.coalesce(known, F.to_json(record)))
+
+
+def event_counts(events: DataFrame, *by: str) -> DataFrame:
+    """How many events each source (or other grouping) has; counted before repeats are dropped."""
+    return events.groupBy(*by).agg(F.count("*").alias("n"))
 
-    An entity has at most one event in a batch. ``seq`` continues the log's; inside a batch it follows (event kind, order key).
-    """
-    payload = ["event", "record", "previous"]
-    latest = log.groupBy("source", *entity).agg(F.max_by(F.struct(*payload), F.col("seq")).alias("__last"))
-    fresh = batch.join(latest.withColumnsRenamed({c: f"__l_{c}" for c in ["source", *entity]}), _renamed(batch, entity), "left_anti")
-    top = log.agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("__top"))
-    rank = F.row_number().over(Window.orderBy("source", "event", "order_key"))  # one day's changes
-    return fresh.withColumn("seq", rank.cast("long")).crossJoin(F.broadcast(top)).withColumn("seq", F.col("seq") + F.col("__top")).drop("__top", "order_key")
 
+_PAYLOAD = ["event", "record", "previous"]
 
-def _renamed(batch: DataFrame, entity: list[str]) -> Column:
-    on = F.col("source") == F.col("__l_source")
-    for e in entity:
-        on = on & F.col(e).eqNullSafe(F.col(f"__l_{e}"))
-    return on & F.struct("event", "record", "previous").eqNullSafe(F.col("__last"))
+
+def append_batch(log: DataFrame, batch: DataFrame, entity: list[str], within: list[str] | None = None) -> DataFrame:
+    """New events as rows to append: those identical, but for the date, to their entity's event before are dropped.
+
+    The event before is the one ahead of it in the batch, in order of date and ``within``, or the latest logged one. ``seq`` continues
+    the log's, in order of (date, source, event kind, order key). It is counted inside small ranges of that order and the ranges are
+    offset by a table of their sizes, so no task holds the batch.
+    """
+    within = [*(["date"] if "date" in batch.columns else []), *(within or [])]
+    days = within[:1] if "date" in batch.columns else []
+    latest = log.groupBy("source", *entity).agg(F.max_by(F.struct(*_PAYLOAD), F.col("seq")).alias("__now"))
+    rows = batch.withColumn("__now", F.struct(*_PAYLOAD)).withColumn("__new", F.lit(1))
+    both = rows.unionByName(latest.withColumn("__new", F.lit(0)), allowMissingColumns=True)
+    before = F.lag(F.struct("__now")).over(Window.partitionBy("source", *entity).orderBy("__new", *within, "event", "order_key"))
+    fresh = both.withColumn("__was", before).filter("__new = 1").filter(F.col("__was").isNull() | ~F.col("__was.__now").eqNullSafe(F.col("__now")))
+    fresh = fresh.select(*batch.columns).withColumn("__part", F.substring("order_key", 1, PREFIX))
+    ranges = [*days, "source", "event", "__part"]
+    order = [F.col(c).asc_nulls_first() for c in ranges]
+    sizes = fresh.groupBy(*ranges).agg(F.count("*").alias("__n"))
+    top = log.agg(F.coalesce(F.max("seq"), F.lit(-1)).alias("__top"))
+    ahead = F.coalesce(F.sum("__n").over(Window.orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row per range
+    starts = sizes.crossJoin(F.broadcast(top)).select(*[F.col(c).alias(f"__r_{c}") for c in ranges], (F.col("__top") + ahead).alias("__start"))
+    on = F.lit(True)
+    for c in ranges:
+        on = on & F.col(c).eqNullSafe(F.col(f"__r_{c}"))
+    rank = F.row_number().over(Window.partitionBy(*ranges).orderBy("order_key", *within))  # an entity has one event a day and kind, but for ``within``
+    return fresh.withColumn("__rank", rank).join(starts, on).withColumn("seq", (F.col("__start") + F.col("__rank")).cast("long")).drop("__start", "__rank", "__part", "order_key", *[f"__r_{c}" for c in ranges])
 
 
 def without_repeats(events: DataFrame, entity: list[str], order: list[str], payload: list[str]) -> DataFrame:

@@ -45,10 +45,19 @@ def _tag_index(tags: tuple[str, ...]):
 _RECORD = ["cik", "period_start", "period_end", "span_type", "dps", "source_tag", "filed", "derived", "approximate", "flags"]
 
 
+def per_share_facts(facts: DataFrame) -> DataFrame:
+    """Usable per-share facts of all tags: known units, no negative value, end and filing date there."""
+    return facts.filter(F.col("tag").isin(*specs.DPS_TAGS) & F.col("unit").isin("USD/shares", "pure") & (F.col("val") >= 0) & F.col("end").isNotNull() & F.col("filed").isNotNull())
+
+
+def cash_facts(facts: DataFrame) -> DataFrame:
+    """Usable totals of cash paid."""
+    return facts.filter(F.col("tag").isin(*specs.CASH_TAGS) & (F.col("unit") == "USD") & (F.col("val") >= 0) & F.col("start").isNotNull() & F.col("end").isNotNull() & F.col("filed").isNotNull())
+
+
 def per_share_periods(facts: DataFrame, split_rows: DataFrame) -> DataFrame:
     """One record per (cik, start, end): best tag, then latest filing, then the last fact; disagreement over all tags is flagged."""
-    ok = facts.filter(F.col("tag").isin(*specs.DPS_TAGS) & F.col("unit").isin("USD/shares", "pure") & (F.col("val") >= 0) & F.col("end").isNotNull() & F.col("filed").isNotNull())
-    based = later_product(ok, split_rows, ["cik"], "filed", "effective_date", "ratio").withColumn("dps", F.col("val") / F.col("factor"))
+    based = later_product(per_share_facts(facts), split_rows, ["cik"], "filed", "effective_date", "ratio").withColumn("dps", F.col("val") / F.col("factor"))
     rank = F.struct(-_tag_index(specs.DPS_TAGS), F.col("filed"), F.col("ord"))
     periods = based.groupBy("cik", "start", "end").agg(
         F.max_by(F.struct("dps", "tag", "filed", "unit"), rank).alias("best"), F.max("dps").alias("hi"), F.min("dps").alias("lo")
@@ -77,9 +86,10 @@ def missing_quarters(records: DataFrame) -> DataFrame:
     inside = (F.col("cik") == F.col("__cik")) & (F.col("gap_start") < F.col("__e")) & (F.col("__e") <= F.date_add("period_end", 7))
     held = held.join(small, inside, "left_anti").withColumn("value", F.col("dps") - F.col("part")).filter("value >= -0.005")
     row = F.struct("period_end", "filed", "gap_start", "value", "source_tag", "period_start")
+    near = lambda acc, r: (F.size(acc) > 0) & (F.datediff(r["period_end"], F.try_element_at(acc, F.lit(-1))["period_end"]) <= 10)  # noqa: E731 - sorted: the last one is the nearest
     kept = F.aggregate(
         F.array_sort(F.collect_list(row)), F.array().cast("array<struct<period_end:date,filed:date,gap_start:date,value:double,source_tag:string,period_start:date>>"),
-        lambda acc, r: F.when(F.exists(acc, lambda a: F.abs(F.datediff(r["period_end"], a["period_end"])) <= 10), acc).otherwise(F.concat(acc, F.array(r))),
+        lambda acc, r: F.when(near(acc, r), acc).otherwise(F.concat(acc, F.array(r))),
     )
     out = held.groupBy("cik").agg(kept.alias("kept")).select("cik", F.explode("kept").alias("r")).select("cik", "r.*")
     flags = F.when(F.col("value") < 0, F.array(F.lit("derived_q4"), F.lit("clamped_negative"))).otherwise(F.array(F.lit("derived_q4")))
@@ -95,8 +105,7 @@ def cash_quarters(facts: DataFrame) -> DataFrame:
     Of equal periods the latest filing counts, the first of equal filings. A chain joins facts whose start is within five days of the
     chain's first; inside it each value is less the one before, which moves on even when a row is dropped.
     """
-    ok = facts.filter(F.col("tag").isin(*specs.CASH_TAGS) & (F.col("unit") == "USD") & (F.col("val") >= 0) & F.col("start").isNotNull() & F.col("end").isNotNull() & F.col("filed").isNotNull())
-    once = ok.groupBy("cik", "tag", "start", "end").agg(F.max_by(F.struct("val", "filed"), F.struct("filed", -F.col("ord"))).alias("b")).select("cik", "tag", "start", "end", "b.*")
+    once = cash_facts(facts).groupBy("cik", "tag", "start", "end").agg(F.max_by(F.struct("val", "filed"), F.struct("filed", -F.col("ord"))).alias("b")).select("cik", "tag", "start", "end", "b.*")
     leaders = once.groupBy("cik", "tag").agg(folds.leader_days(F.array_sort(F.collect_set("start")), 5).alias("l")).select("cik", "tag", F.explode("l").alias("l"))
     chained = once.join(leaders.select("cik", "tag", F.col("l.day").alias("start"), F.col("l.leader").alias("leader")), ["cik", "tag", "start"])
     w = Window.partitionBy("cik", "tag", "leader").orderBy("end", "start")
@@ -111,14 +120,17 @@ def cash_fallback(facts: DataFrame, shares: DataFrame, split_rows: DataFrame) ->
     pieces = cash_quarters(facts).withColumn("span_type", classify_span(F.col("period_start"), F.col("period_end"))).filter(F.col("span_type").isin("monthly", "quarterly", "semiannual"))
     near = nearest(pieces, shares, ["cik"], "end", "period_end", "val", 180).filter("match IS NOT NULL").withColumn("shares_date", F.col("match.at"))
     based = later_product(near, split_rows, ["cik"], "shares_date", "effective_date", "ratio").withColumn("i", _tag_index(specs.CASH_TAGS))
-    first = Window.partitionBy("cik")
-    chosen = based.withColumn("best", F.min("i").over(first)).filter("i = best")
-    return chosen.select(
+    return first_tag(based, ["cik"], "i").select(
         "cik", "period_start", "period_end", "span_type", (F.greatest("value", F.lit(0.0)) / F.col("match.value") / F.col("factor")).alias("dps"),
         F.col("tag").alias("source_tag"), "filed", F.lit(False).alias("derived"), F.lit(True).alias("approximate"), F.array(F.lit("aggregate_fallback")).alias("flags"),
     )
 
 
+def first_tag(rows: DataFrame, keys: list[str], index: str) -> DataFrame:
+    """The rows of each key's best tag (the lowest index); a tag counts as a whole."""
+    return rows.withColumn("__best", F.min(index).over(Window.partitionBy(*keys))).filter(F.col(index) == F.col("__best")).drop("__best")
+
+
 def dividends(facts: DataFrame, shares: DataFrame, split_rows: DataFrame) -> DataFrame:
     """Per-share records with derived quarters, and cash records for stretches they do not cover."""
     periods = per_share_periods(facts, split_rows)

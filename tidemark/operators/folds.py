@@ -14,6 +14,9 @@ def chained_groups(df: DataFrame, keys: list[str], at: str, far: Column, name: s
     return marked.withColumn(name, F.sum(start).over(w.rangeBetween(Window.unboundedPreceding, 0))).drop("__prev")
 
 
+# Both folds look at the last element only; their arrays hold distinct days of one key, which the calendar bounds.
+
+
 def leader_days(days: Column, reach: int) -> Column:
     """Sorted days to (day, leader): a day joins the last leader within ``reach`` days of it, otherwise it leads."""
 
@@ -29,7 +32,7 @@ def accepted_days(days: Column, apart: int) -> Column:
     """Sorted days, without those within ``apart`` days of one accepted earlier."""
 
     def step(acc: Column, d: Column) -> Column:
-        near = F.exists(acc, lambda a: F.abs(F.datediff(d, a)) <= apart)
+        near = (F.size(acc) > 0) & (F.datediff(d, F.try_element_at(acc, F.lit(-1))) <= apart)  # of sorted days the last one is the nearest
         return F.when(near, acc).otherwise(F.concat(acc, F.array(d)))
 
     return F.aggregate(days, F.array().cast("array<date>"), step)

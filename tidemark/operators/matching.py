@@ -58,12 +58,21 @@ def nearest(facts: DataFrame, series: DataFrame, keys: list[str], at: str, when:
 def later_product(facts: DataFrame, splits: DataFrame, keys: list[str], basis: str, effective: str, ratio: str, name: str = "factor") -> DataFrame:
     """``facts`` with the product of the ratios of all splits strictly after ``basis``; 1 without any.
 
-    The splits of a key are folded in order of date, so the product is the same on every run; they are few per key.
+    The products from each split on are made once per key, latest split first, so they are the same on every run; then facts and
+    splits go through one sort, and each fact reads the product of the nearest split after it. A null ``basis`` has no split after it.
     """
-    ordered = splits.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(F.col(effective).alias("d"), F.col(ratio).alias("r")))).alias("__splits"))
-    later = F.filter("__splits", lambda s: s["d"] > F.col(basis))
-    product = F.aggregate(later, F.lit(1.0), lambda acc, s: acc * s["r"])
-    return facts.join(ordered, keys, "left").withColumn(name, F.coalesce(product, F.lit(1.0))).drop("__splits")
+    latest_first = F.reverse(F.array_sort(F.collect_list(F.struct(F.col(effective).alias("d"), F.col(ratio).alias("r")))))
+    running = F.aggregate(
+        "__s", F.array().cast("array<double>"), lambda acc, s: F.concat(acc, F.array(F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(1.0)) * s["r"]))
+    )
+    points = splits.filter(F.col(effective).isNotNull()).groupBy(*keys).agg(latest_first.alias("__s")).select(*keys, F.posexplode(F.arrays_zip(F.col("__s.d").alias("d"), running.alias("p"))).alias("__i", "__z"))
+    points = points.select(*keys, F.col("__z.d").alias("__t"), "__i", F.col("__z.p").alias("__p"))
+    asked = facts.select(*keys, F.col(basis).alias("__t"), F.lit(-1).alias("__i"), F.lit(None).cast("double").alias("__p"), F.struct(*facts.columns).alias("__fact"))
+    both = asked.unionByName(points, allowMissingColumns=True)
+    # backwards in time; at equal times facts come before splits, which are not after them
+    w = Window.partitionBy(*keys).orderBy(F.col("__t").desc_nulls_first(), "__i").rowsBetween(Window.unboundedPreceding, 0)
+    found = both.withColumn("__f", F.coalesce(F.last("__p", ignorenulls=True).over(w), F.lit(1.0))).filter("__fact IS NOT NULL")
+    return found.select("__fact.*", F.col("__f").alias(name))
 
 
 def not_overlapping(candidates: DataFrame, covered: DataFrame, keys: list[str], least_days: int, start: str = "period_start", end: str = "period_end") -> DataFrame:
@@ -84,14 +93,16 @@ def contained(outer: DataFrame, inner: DataFrame, keys: list[str], slack: int, s
     return outer.join(ins, on)
 
 
-def resolve_symbols(asked: DataFrame, lookup: DataFrame, symbol: str = "ticker", value: str = "cik") -> DataFrame:
-    """(symbol upper-cased and stripped, value): the first spelling variant that the lookup knows.
+def resolve_symbols(asked: DataFrame, lookup: DataFrame, symbol: str = "ticker", value: str = "cik", order: str | None = None) -> DataFrame:
+    """(symbol upper-cased and stripped, value): what the lookup has for the first spelling variant that it knows.
 
-    The lookup is keyed by upper-case symbol; of duplicates the last (by value) counts; zero values are no answer.
+    The lookup is keyed by upper-case symbol; of duplicates the last counts, by ``order`` or else by value. If that is
+    zero or null, the symbol has no answer: later variants are not tried.
     """
-    known = lookup.filter(F.col(value) != 0).groupBy(F.upper(symbol).alias("__v")).agg(F.max(value).alias(value))
+    known = lookup.groupBy(F.upper(symbol).alias("__v")).agg(F.max_by(F.struct(F.col(value).alias("v")), F.struct(order or value, value)).alias("__k"))
     tries = asked.select(F.upper(F.trim(symbol)).alias(symbol), F.posexplode(symbol_variants(F.col(symbol))).alias("__pos", "__v")).distinct()
-    return tries.join(known, "__v").groupBy(symbol).agg(F.min_by(value, "__pos").alias(value))
+    first = tries.join(known, "__v").groupBy(symbol).agg(F.min_by(F.col("__k.v"), "__pos").alias(value))
+    return first.filter(F.coalesce(F.col(value) != 0, F.lit(False)))
 
 
 def unresolved(asked: DataFrame, resolved: DataFrame, symbol: str = "ticker") -> DataFrame:

@@ -48,12 +48,21 @@ def build_intervals(current: DataFrame, events: DataFrame, keys: list[str], boun
     return out.select(*keys, F.col("state").alias("record"), F.col("date").alias("valid_from"), "valid_to", (F.col("date") != start).alias("provable_from"))
 
 
-def members_asof(current: DataFrame, events: DataFrame, keys: list[str], day: str) -> DataFrame:
-    """(keys, record) on a day, by undoing later events: per key the pre-image of the earliest one decides."""
-    later = _timeline(current, events.filter(F.col("date") > F.to_date(F.lit(day))), keys)
+def members_on(current: DataFrame, events: DataFrame, keys: list[str], days: list[str]) -> DataFrame:
+    """(day, keys, record) on each of some days, by undoing later events: per key the pre-image of the earliest one decides.
+
+    The log is read once; an event goes to the days before it and is combined there before the shuffle.
+    """
+    asked = F.array(*[F.to_date(F.lit(d)) for d in days])
+    line = _timeline(current, events, keys).withColumn("day", F.explode(F.filter(asked, lambda d: d < F.col("date"))))
     order = F.struct("date", F.coalesce("seq", F.lit((1 << 63) - 1)))
-    state = later.groupBy(*keys).agg(F.min_by(F.struct("pre"), order).alias("s"))
-    return state.select(*keys, F.col("s.pre").alias("record")).filter("record IS NOT NULL")
+    state = line.groupBy("day", *keys).agg(F.min_by(F.struct("pre"), order).alias("s"))
+    return state.select("day", *keys, F.col("s.pre").alias("record")).filter("record IS NOT NULL")
+
+
+def members_asof(current: DataFrame, events: DataFrame, keys: list[str], day: str) -> DataFrame:
+    """(keys, record) on a day."""
+    return members_on(current, events, keys, [day]).drop("day")
 
 
 def as_of(intervals: DataFrame, day: str, floor: str | None = None) -> DataFrame:
@@ -64,6 +73,13 @@ def as_of(intervals: DataFrame, day: str, floor: str | None = None) -> DataFrame
     return intervals.filter((F.col("valid_from") <= d) & (F.col("valid_to").isNull() | (d < F.col("valid_to")))).drop(*INTERVAL_FIELDS)
 
 
+def as_of_days(intervals: DataFrame, days: list[str]) -> DataFrame:
+    """``day`` and the rows valid on it, for some days at once, without the interval columns."""
+    held = lambda d: (F.col("valid_from") <= d) & (F.col("valid_to").isNull() | (d < F.col("valid_to")))
+    asked = F.array(*[F.to_date(F.lit(d)) for d in days])
+    return intervals.withColumn("day", F.explode(F.filter(asked, held))).drop(*INTERVAL_FIELDS)
+
+
 def join_as_of(facts: DataFrame, intervals: DataFrame, keys: list[str], day: str) -> DataFrame:
     """Facts with the record that was valid on their day: an equi-join on the keys with the range as its residual."""
     held = (F.col("valid_from") <= F.col(day)) & (F.col("valid_to").isNull() | (F.col(day) < F.col("valid_to")))
@@ -87,6 +103,10 @@ def require_valid(events: DataFrame, boundary: str | None = None) -> None:
     bad = violations(events).first().asDict()
     if any(bad.values()):
         raise PitBuildError(f"the log has events that cannot be replayed: {bad}")
+    if "seq" in events.columns:
+        found = events.agg(F.count("seq").alias("stamped"), F.count("*").alias("n")).first()
+        if 0 < found["stamped"] < found["n"]:
+            raise PitBuildError(f"{found['stamped']} of {found['n']} events have a position in the log: events of one day have no order")
     if boundary is not None and events.filter(F.col("date") <= F.to_date(F.lit(boundary))).limit(1).count():
         raise PitBuildError(f"the log has events on or before {boundary}")
 

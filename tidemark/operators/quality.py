@@ -22,10 +22,10 @@ def allowed_only(df: DataFrame, dataset: str, allowed: dict | None = None, forbi
     return df.select(*[checked.alias("ticker") if c == "ticker" else c for c in keep])
 
 
-def failure_share(fetches: DataFrame) -> DataFrame:
-    """(total, failed, share); an absent member is not a failure."""
+def failure_share(fetches: DataFrame, *by: str) -> DataFrame:
+    """(by, total, failed, share); an absent member is not a failure."""
     failed = F.count_if(F.col("status") == "failed")
-    return fetches.agg(F.count("*").alias("total"), failed.alias("failed"), (failed / F.greatest(F.count("*"), F.lit(1))).alias("share"))
+    return fetches.groupBy(*by).agg(F.count("*").alias("total"), failed.alias("failed"), (failed / F.greatest(F.count("*"), F.lit(1))).alias("share"))
 
 
 def require_few_failures(fetches: DataFrame, limit: float = specs.FAILURE_LIMIT) -> None:

@@ -11,11 +11,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark import schemas, specs
 from tidemark.functions import scalars
 from tidemark.operators import diff, facts, flags, folds, matching, pit, quality
 from tidemark.plans import streams
 from tidemark.plans.streams import table
-from tidemark.sources import scans
+from tidemark.sources import publish, scans
+from tidemark.streaming import listings
 
 QUERIES: dict[str, Callable] = {}
 SQL: dict[str, str] = {}
@@ -93,14 +95,11 @@ FROM q LEFT JOIN iv ON valid_from <= d AND (valid_to IS NULL OR d < valid_to) GR
 def pit_equivalence(spark, sf_dir):
     """Slicing the intervals and undoing the log must agree on every day."""
     now, log = _parts(spark, sf_dir)
-    intervals, out = _intervals(spark, sf_dir), None
-    for d in _DAYS:
-        sliced = pit.as_of(intervals, d).select("user_id", F.col("record").alias("s"))
-        replayed = pit.members_asof(now, log, ["user_id"], d).select("user_id", F.col("record").alias("r"))
-        both = sliced.join(replayed, "user_id", "full_outer").agg(F.count("s").alias("members"), F.count_if(~F.col("s").eqNullSafe(F.col("r"))).alias("mismatches"))
-        one = both.select(F.lit(d).alias("day"), "members", "mismatches")
-        out = one if out is None else out.unionByName(one)
-    return out
+    days = list(_DAYS)
+    sliced = pit.as_of_days(_intervals(spark, sf_dir), days).select("day", "user_id", F.col("record").alias("s"))
+    replayed = pit.members_on(now, log, ["user_id"], days).select("day", "user_id", F.col("record").alias("r"))
+    both = sliced.join(replayed, ["day", "user_id"], "full_outer").groupBy("day").agg(F.count("s").alias("members"), F.count_if(~F.col("s").eqNullSafe(F.col("r"))).alias("mismatches"))
+    return both.select(day("day"), "members", "mismatches")
 
 
 @query(f"""WITH {_INTERVALS} SELECT e.event_id, iv.state FROM events e JOIN iv ON e.user_id = iv.user_id
@@ -153,8 +152,14 @@ def dup_key_last_wins(spark, sf_dir):
 
 @query("""SELECT user_id, event_id, event_type FROM (SELECT *, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS b FROM events) WHERE b IS DISTINCT FROM event_type""")
 def append_dedupe_latest(spark, sf_dir):
-    rows = table(spark, sf_dir, "events").select("user_id", "event_id", "event_type")
-    return diff.without_repeats(rows, ["user_id"], ["event_id"], ["event_type"])
+    """The events arrive in two batches; each drops what its user's event before says already."""
+    e = table(spark, sf_dir, "events").select(F.lit("events").alias("source"), "user_id", "event_id", F.lit("seen").alias("event"), F.col("event_type").alias("record"), F.lit(None).cast("string").alias("previous"))
+    e = e.withColumn("order_key", F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    half = (e.agg(F.max("event_id")).first()[0] or 0) // 2
+    empty = e.limit(0).drop("order_key").withColumn("seq", F.lit(0).cast("long"))
+    first = diff.append_batch(empty, e.filter(F.col("event_id") <= half), ["user_id"], ["event_id"])
+    second = diff.append_batch(first, e.filter(F.col("event_id") > half), ["user_id"], ["event_id"])
+    return first.unionByName(second).select("user_id", "event_id", F.col("record").alias("event_type"))
 
 
 @query("SELECT user_id, event_type, min(event_id) AS event_id FROM events GROUP BY user_id, event_type")
@@ -164,7 +169,8 @@ def first_seen_dedupe(spark, sf_dir):
 
 @query("SELECT user_id, min(event_id) AS first_seen FROM events GROUP BY user_id ORDER BY first_seen LIMIT 50")
 def first_seen_limit(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.min("event_id").alias("first_seen")).orderBy("first_seen").limit(50)
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("cik"), F.col("event_id").alias("ord"))
+    return scans.universe(e, 50, first="first_seen").withColumnRenamed("cik", "user_id")
 
 
 @query("""SELECT DISTINCT user_id FROM events WHERE user_id NOT IN (SELECT user_id FROM events WHERE event_type = 'purchase' AND extract(isoyear FROM ts) = 2024 AND extract(week FROM ts) = 2)""")
@@ -283,14 +289,14 @@ def symbol_variants(spark, sf_dir):
     return _parts_named(spark, sf_dir).select("p_partkey", F.array_join(scalars.symbol_variants(F.col("p_name")), "|").alias("variants"))
 
 
-_LOOKUP = "lk AS (SELECT upper(replace(p_name, ' ', '-')) AS t, max(p_partkey) AS cik FROM part WHERE p_partkey % 5 <> 0 GROUP BY 1), ask AS (SELECT DISTINCT p_name FROM parts)"
+_LOOKUP = "lk AS (SELECT upper(replace(p_name, ' ', '-')) AS t, max(p_partkey) AS cik FROM part WHERE p_partkey % 5 <> 0 AND p_name >= 'h' GROUP BY 1), ask AS (SELECT DISTINCT p_name FROM parts)"
 _RESOLVED = f"""{_PARTS}, {_LOOKUP}, v AS (SELECT upper(trim(p_name)) AS ticker, regexp_replace(regexp_replace(upper(trim(p_name)), '[. ]', '-', 'g'), '-{{2,}}', '-', 'g') AS d FROM ask),
 re AS (SELECT DISTINCT v.ticker, coalesce(a.cik, b.cik) AS cik FROM v LEFT JOIN lk a ON a.t = v.ticker LEFT JOIN lk b ON b.t = v.d)"""
 
 
 def _resolved(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
     asked = _parts_named(spark, sf_dir).select(F.col("p_name").alias("ticker")).distinct()
-    known = table(spark, sf_dir, "part").filter("p_partkey % 5 <> 0").select(F.regexp_replace("p_name", " ", "-").alias("ticker"), F.col("p_partkey").alias("cik"))
+    known = table(spark, sf_dir, "part").filter("p_partkey % 5 <> 0 AND p_name >= 'h'").select(F.regexp_replace("p_name", " ", "-").alias("ticker"), F.col("p_partkey").alias("cik"))
     return asked, matching.resolve_symbols(asked, known)
 
 
@@ -324,29 +330,44 @@ def span_null_start(spark, sf_dir):
 
 
 _FLAGRANK = "CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END"
+_FLAGS = ("R", "A", "N")  # return flags stand for the tags, in their order
 
 
-def _lines(spark, sf_dir) -> DataFrame:
+def _line_facts(spark, sf_dir, tags: tuple[str, ...], tie, start=None, end=None) -> DataFrame:
+    """Order lines as facts: a company per order, filed when shipped, one period unless told otherwise."""
     rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", rank.alias("rank"), "l_shipdate", "l_extendedprice")
+    tag = F.element_at(F.array(*[F.lit(t) for t in tags]), rank + 1) if len(tags) > 1 else F.lit(tags[0])
+    lines = table(spark, sf_dir, "lineitem")
+    start, end = F.lit(start).cast("date"), F.to_date(F.lit("2000-03-31")) if end is None else end
+    return lines.select(F.col("l_orderkey").alias("cik"), tag.alias("tag"), F.lit("USD/shares" if len(tags) > 1 else "USD").alias("unit"), tie.cast("bigint").alias("ord"), start.alias("start"), end.alias("end"), F.col("l_extendedprice").alias("val"), F.to_date("l_shipdate").alias("filed"), "l_linenumber")
+
+
+def _no_splits(spark) -> DataFrame:
+    return spark.createDataFrame([], "cik bigint, effective_date date, ratio double")
+
+
+_CENTS = "round(l_extendedprice * 100)"
 
 
 @query(f"""SELECT l_orderkey, l_returnflag, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {_FLAGRANK}, l_shipdate DESC, l_extendedprice DESC) AS n FROM lineitem) WHERE n = 1""")
 def tag_priority_dedupe(spark, sf_dir):
-    best = _lines(spark, sf_dir).groupBy("l_orderkey").agg(F.max_by(F.struct("l_returnflag", "l_extendedprice"), F.struct(-F.col("rank"), "l_shipdate", "l_extendedprice")).alias("b"))
-    return best.select("l_orderkey", "b.*")
+    best = facts.per_share_periods(_line_facts(spark, sf_dir, specs.DPS_TAGS, F.expr(_CENTS)), _no_splits(spark))
+    flag = F.element_at(F.array(*[F.lit(f) for f in _FLAGS]), F.array_position(F.array(*[F.lit(t) for t in specs.DPS_TAGS]), F.col("source_tag")).cast("int"))
+    return best.select(F.col("cik").alias("l_orderkey"), flag.alias("l_returnflag"), F.col("dps").alias("l_extendedprice"))
 
 
 @query("SELECT l_orderkey, l_linenumber, max(l_extendedprice) > 0 AND (max(l_extendedprice) - min(l_extendedprice)) / max(l_extendedprice) > 0.015 AS disagree FROM lineitem GROUP BY ALL")
 def restatement_flag(spark, sf_dir):
-    hi, lo = F.max("l_extendedprice"), F.min("l_extendedprice")
-    return _lines(spark, sf_dir).groupBy("l_orderkey", "l_linenumber").agg(((hi > 0) & ((hi - lo) / hi > 0.015)).alias("disagree"))
+    """A line number of an order is a period, so that it can be filed more than once."""
+    first = F.to_date(F.lit("2000-01-01"))
+    periods = facts.per_share_periods(_line_facts(spark, sf_dir, specs.DPS_TAGS, F.expr(_CENTS), end=F.date_add(first, F.col("l_linenumber"))), _no_splits(spark))
+    return periods.select(F.col("cik").alias("l_orderkey"), F.datediff("period_end", first).alias("l_linenumber"), F.array_contains("flags", "restatement_disagreement").alias("disagree"))
 
 
 @query("SELECT l_orderkey, l_extendedprice FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate DESC, l_linenumber, l_extendedprice) AS n FROM lineitem) WHERE n = 1")
 def latest_filed_first_tie(spark, sf_dir):
-    best = _lines(spark, sf_dir).groupBy("l_orderkey").agg(F.max_by("l_extendedprice", F.struct("l_shipdate", -F.col("l_linenumber"), -F.col("l_extendedprice"))).alias("l_extendedprice"))
-    return best
+    tie = F.expr(f"l_linenumber * 10000000000L + {_CENTS}")
+    return facts.cash_quarters(_line_facts(spark, sf_dir, specs.CASH_TAGS[:1], tie, start="2000-01-01")).select(F.col("cik").alias("l_orderkey"), F.col("value").alias("l_extendedprice"))
 
 
 _QUARTERS = """o AS (SELECT o_custkey AS cik, year(o_orderdate) AS y, quarter(o_orderdate) AS q, sum(round(o_totalprice * 100)) / 100 AS v FROM orders GROUP BY ALL),
@@ -406,19 +427,103 @@ def anchored_groups(spark, sf_dir):
 r AS (SELECT cik, y, d, sum(c) OVER (PARTITION BY cik, y ORDER BY d) AS ytd FROM m)
 SELECT cik, CAST(y AS INT) AS y, CAST(d AS VARCHAR) AS d, round((ytd - coalesce(lag(ytd) OVER (PARTITION BY cik, y ORDER BY d), 0)) / 100, 2) AS value FROM r""")
 def ytd_difference(spark, sf_dir):
-    m = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cik"), F.year("o_orderdate").alias("y"), F.to_date("o_orderdate").alias("d")).agg(F.sum(F.round(F.col("o_totalprice") * 100)).alias("c"))
-    w = Window.partitionBy("cik", "y").orderBy("d")
-    ytd = m.withColumn("ytd", F.sum("c").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return ytd.select("cik", "y", day("d"), F.round((F.col("ytd") - F.coalesce(F.lag("ytd").over(w), F.lit(0.0))) / 100, 2).alias("value"))
+    """Yearly running totals of a customer's orders, in cents, as cash facts since the first of January."""
+    m = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cik"), F.year("o_orderdate").alias("y"), F.to_date("o_orderdate").alias("end")).agg(F.sum(F.round(F.col("o_totalprice") * 100)).alias("c"))
+    total = F.sum("c").over(Window.partitionBy("cik", "y").orderBy("end").rowsBetween(Window.unboundedPreceding, 0))
+    paid = m.select("cik", F.lit(specs.CASH_TAGS[0]).alias("tag"), F.lit("USD").alias("unit"), F.lit(0).cast("bigint").alias("ord"), F.make_date("y", F.lit(1), F.lit(1)).alias("start"), "end", total.alias("val"), F.col("end").alias("filed"))
+    return facts.cash_quarters(paid).select("cik", F.year("period_end").alias("y"), F.date_format("period_end", "yyyy-MM-dd").alias("d"), F.round(F.col("value") / 100, 2).alias("value"))
 
 
-@query("""WITH r AS (SELECT *, CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS i FROM events WHERE value > 90)
-SELECT user_id, event_id FROM r WHERE i = (SELECT min(i) FROM r b WHERE b.user_id = r.user_id)""")
+@query("""WITH r AS (SELECT *, CAST(ts AS DATE) AS d, CASE event_type WHEN 'purchase' THEN 0 WHEN 'signup' THEN 1 WHEN 'click' THEN 2 ELSE 3 END AS i FROM events)
+SELECT user_id, event_id FROM r QUALIFY i = min(i) OVER (PARTITION BY user_id, d)""")
 def first_tag_wins(spark, sf_dir):
+    """Of a user's events of a day those of the best type; all events take part."""
     kind = F.col("event_type")
     i = F.when(kind == "purchase", 0).when(kind == "signup", 1).when(kind == "click", 2).otherwise(3)
-    rows = table(spark, sf_dir, "events").filter("value > 90").select("user_id", "event_id", i.alias("i"))
-    return rows.withColumn("best", F.min("i").over(Window.partitionBy("user_id"))).filter("i = best").select("user_id", "event_id")
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.to_date("ts").alias("d"), i.alias("i"))
+    return facts.first_tag(rows, ["user_id", "d"], "i").select("user_id", "event_id")
+
+
+_FACT_SPANS = """f AS (SELECT l_suppkey AS cik, CAST(CASE l_returnflag WHEN 'R' THEN 0 WHEN 'A' THEN 1 ELSE 2 END AS INT) AS i, CASE WHEN l_linenumber % 3 = 0 THEN 'pure' WHEN l_linenumber % 7 = 1 THEN 'shares' ELSE 'USD/shares' END AS unit,
+CAST(l_orderkey * 1000 + l_linenumber * 100 + l_quantity AS BIGINT) AS ord, CASE WHEN l_linenumber % 5 <> 4 THEN CAST(date_trunc('quarter', l_shipdate) AS DATE) END AS start, CAST(CAST(date_trunc('quarter', l_shipdate) AS DATE) + INTERVAL 3 MONTH AS DATE) - 1 AS e,
+CASE WHEN l_quantity > 45 THEN -1 ELSE l_quantity END AS val, CASE WHEN l_orderkey % 11 <> 0 THEN CAST(l_shipdate AS DATE) + CAST(l_orderkey % 90 AS INT) END AS filed FROM lineitem),
+ok AS (SELECT * FROM f WHERE unit <> 'shares' AND val >= 0 AND filed IS NOT NULL)"""
+
+
+def _quarter_facts(spark, sf_dir) -> DataFrame:
+    """Order lines as per-share facts of suppliers: quarters or instants, three units, some without a filing date or below zero."""
+    rank = F.when(F.col("l_returnflag") == "R", 0).when(F.col("l_returnflag") == "A", 1).otherwise(2)
+    quarter = F.to_date(F.date_trunc("quarter", "l_shipdate"))
+    number = F.col("l_linenumber")
+    return table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").alias("cik"), F.element_at(F.array(*[F.lit(t) for t in specs.DPS_TAGS]), rank + 1).alias("tag"),
+        F.when(number % 3 == 0, "pure").when(number % 7 == 1, "shares").otherwise("USD/shares").alias("unit"), (F.col("l_orderkey") * 1000 + number * 100 + F.col("l_quantity")).cast("bigint").alias("ord"),
+        F.when(number % 5 != 4, quarter).alias("start"), F.date_sub(F.add_months(quarter, 3), 1).alias("end"), F.when(F.col("l_quantity") > 45, -1.0).otherwise(F.col("l_quantity")).alias("val"),
+        F.when(F.col("l_orderkey") % 11 != 0, F.date_add(F.to_date("l_shipdate"), (F.col("l_orderkey") % 90).cast("int"))).alias("filed"),
+    )
+
+
+@query(f"WITH {_FACT_SPANS} SELECT cik, i AS tag_no, unit, ord, val FROM ok")
+def per_share_facts(spark, sf_dir):
+    tag_no = F.array_position(F.array(*[F.lit(t) for t in specs.DPS_TAGS]), F.col("tag")) - 1
+    return facts.per_share_facts(_quarter_facts(spark, sf_dir)).select("cik", tag_no.cast("int").alias("tag_no"), "unit", "ord", "val")
+
+
+_RATIOS = "sp AS (SELECT o_custkey % 100 AS cik, CAST(o_orderdate AS DATE) AS d, CASE o_orderkey % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 2.0 ELSE 4.0 END::DOUBLE AS ratio FROM orders WHERE o_orderpriority LIKE '1%' AND o_totalprice < 20000)"
+
+
+@query(f"""WITH {_FACT_SPANS}, {_RATIOS},
+fd AS (SELECT DISTINCT cik, filed FROM ok), fa AS (SELECT fd.cik, fd.filed, product(sp.ratio) AS factor FROM fd JOIN sp ON sp.cik = fd.cik AND sp.d > fd.filed GROUP BY ALL),
+b AS (SELECT ok.*, val / coalesce(factor, 1.0) AS dps FROM ok LEFT JOIN fa USING (cik, filed)),
+k AS (SELECT *, row_number() OVER (PARTITION BY cik, start, e ORDER BY i, filed DESC, ord DESC) AS n, max(dps) OVER (PARTITION BY cik, start, e) AS hi, min(dps) OVER (PARTITION BY cik, start, e) AS lo FROM b)
+SELECT cik, CAST(start AS VARCHAR) AS period_start, CAST(e AS VARCHAR) AS period_end, CASE WHEN start IS NULL THEN 'instant' WHEN e - start BETWEEN 70 AND 100 THEN 'quarterly' END AS span_type, dps, i AS tag_no, CAST(filed AS VARCHAR) AS filed,
+CASE WHEN unit = 'pure' THEN 'suspect_unit,' ELSE '' END || CASE WHEN hi > 0 AND (hi - lo) / hi > 0.015 THEN 'restatement_disagreement' ELSE '' END AS flags FROM k WHERE n = 1""")
+def per_share_periods(spark, sf_dir):
+    """Per-share records on today's share basis, from facts of three tags and the splits after their filing."""
+    ratio = F.when(F.col("o_orderkey") % 3 == 0, 0.5).when(F.col("o_orderkey") % 3 == 1, 2.0).otherwise(4.0)
+    changes = table(spark, sf_dir, "orders").filter("o_orderpriority LIKE '1%' AND o_totalprice < 20000").select((F.col("o_custkey") % 100).alias("cik"), F.to_date("o_orderdate").alias("effective_date"), ratio.alias("ratio"))
+    found = facts.per_share_periods(_quarter_facts(spark, sf_dir), changes)
+    tag_no = F.array_position(F.array(*[F.lit(t) for t in specs.DPS_TAGS]), F.col("source_tag")) - 1
+    has = lambda f: F.array_contains("flags", f)
+    flags_ = F.concat(F.when(has("suspect_unit"), "suspect_unit,").otherwise(""), F.when(has("restatement_disagreement"), "restatement_disagreement").otherwise(""))
+    return found.select("cik", day("period_start"), day("period_end"), "span_type", "dps", tag_no.cast("int").alias("tag_no"), day("filed"), flags_.alias("flags"))
+
+
+_SPLIT_FACTS = """f AS (SELECT o_custkey AS cik, CASE WHEN o_orderkey % 13 = 0 THEN 'other' ELSE 'split' END AS tag, CASE o_orderkey % 6 WHEN 0 THEN 2.0 WHEN 1 THEN 0.5 WHEN 2 THEN 150.0 WHEN 3 THEN 1.0 WHEN 4 THEN 0.0 ELSE 8.0 END::DOUBLE AS val,
+CASE WHEN o_orderkey % 4 <> 0 THEN CAST(o_orderdate AS DATE) - CAST(o_orderkey % 90 AS INT) END AS start, CAST(o_orderdate AS DATE) AS e, CAST(o_orderdate AS DATE) + 30 AS filed FROM orders),
+c AS (SELECT cik, val AS ratio, e, filed, (start IS NULL OR e - start <= 45) AND val BETWEEN 0.005 AND 100 AS high FROM f WHERE tag = 'split' AND val > 0 AND val <> 1),
+g AS (SELECT *, CASE WHEN e - lag(e) OVER w <= 370 THEN 0 ELSE 1 END AS s FROM c WINDOW w AS (PARTITION BY cik, ratio ORDER BY e)),
+n AS (SELECT *, sum(s) OVER (PARTITION BY cik, ratio ORDER BY e) AS k FROM g),
+cl AS (SELECT cik, ratio, min(e) AS d, min(filed) AS filed, bool_or(high) AS high FROM n GROUP BY cik, ratio, k)"""
+
+
+def _split_facts(spark, sf_dir) -> DataFrame:
+    key, end = F.col("o_orderkey"), F.to_date("o_orderdate")
+    val = F.when(key % 6 == 0, 2.0).when(key % 6 == 1, 0.5).when(key % 6 == 2, 150.0).when(key % 6 == 3, 1.0).when(key % 6 == 4, 0.0).otherwise(8.0)
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("cik"), F.when(key % 13 == 0, "other").otherwise(specs.SPLIT_TAG).alias("tag"), F.lit("pure").alias("unit"), val.alias("val"),
+        F.when(key % 4 != 0, F.date_sub(end, (key % 90).cast("int"))).alias("start"), end.alias("end"), F.date_add(end, 30).alias("filed"),
+    )
+
+
+@query(f"WITH {_SPLIT_FACTS} SELECT cik, ratio, CAST(e AS VARCHAR) AS end, CAST(filed AS VARCHAR) AS filed, high FROM c")
+def split_candidates(spark, sf_dir):
+    return facts.split_candidates(_split_facts(spark, sf_dir)).select("cik", "ratio", day("end"), day("filed"), "high")
+
+
+@query(f"""WITH {_SPLIT_FACTS}, sh AS (SELECT c_custkey AS cik, unnest([DATE '1996-06-30', DATE '1997-06-30', DATE '1998-06-30', DATE '1999-06-30', DATE '2000-06-30']) AS e, unnest([1.0, 2.0, 9.0, 8.0, 1.0]) * (1 + c_custkey % 3) AS val FROM customer),
+b AS (SELECT cl.cik, cl.ratio, cl.d, cl.filed, cl.high, arg_max(sh.val, sh.e) AS before, max(sh.e) AS be FROM cl LEFT JOIN sh ON sh.cik = cl.cik AND sh.e <= cl.d - 10 GROUP BY ALL),
+a AS (SELECT b.*, arg_min(sh.val, sh.e) AS after, min(sh.e) AS ae FROM b LEFT JOIN sh ON sh.cik = b.cik AND sh.e >= b.d + 10 GROUP BY ALL),
+w AS (SELECT *, CASE WHEN d - be <= 270 THEN before END AS x, CASE WHEN ae - d <= 270 THEN after END AS y FROM a),
+t AS (SELECT *, x > 0 AND y > 0 AND abs(ln(y / x * ratio)) < abs(ln(y / x / ratio)) - ln(2.0) AS turned FROM w)
+SELECT cik, CAST(d AS VARCHAR) AS effective_date, CASE WHEN turned THEN 1 / ratio ELSE ratio END AS ratio, CASE WHEN high THEN 'high' ELSE 'low' END AS confidence, CAST(filed AS VARCHAR) AS filed,
+CASE WHEN turned THEN 'direction_inverted_by_share_check' ELSE '' END AS flags FROM t""")
+def split_events(spark, sf_dir):
+    """Splits from facts: candidates, chains of equal ratios, direction checked against share counts."""
+    counts = F.array(*[F.struct(F.to_date(F.lit(f"{y}-06-30")).alias("end"), F.lit(v).alias("v")) for y, v in zip(range(1996, 2001), (1.0, 2.0, 9.0, 8.0, 1.0), strict=True)])
+    shares = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.explode(counts).alias("s")).select("cik", "s.end", (F.col("s.v") * (1 + F.col("cik") % 3)).alias("val"))
+    found = facts.splits(_split_facts(spark, sf_dir), shares)
+    return found.select("cik", day("effective_date"), "ratio", "confidence", day("filed"), F.array_join("flags", ",").alias("flags"))
 
 
 # --- scans, flags and policy ---------------------------------------------------------------------------------------
@@ -444,7 +549,7 @@ def zip_explode(spark, sf_dir):
 
 @query("SELECT CAST(p_partkey AS VARCHAR) AS cik, p_name AS title, p_brand AS ticker FROM part")
 def columnar_header(spark, sf_dir):
-    packed = table(spark, sf_dir, "part").groupBy((F.col("p_partkey") % 64).alias("b")).agg(F.collect_list(F.array(F.col("p_partkey").cast("string"), "p_name", "p_brand")).alias("data"))
+    packed = table(spark, sf_dir, "part").groupBy(F.floor(F.col("p_partkey") / 500).alias("b")).agg(F.collect_list(F.array(F.col("p_partkey").cast("string"), "p_name", "p_brand")).alias("data"))
     rows = packed.select(F.array(F.lit("cik"), F.lit("name"), F.lit("ticker")).alias("fields"), "data")
     return scans.columnar_rows(rows, {"cik": "cik", "title": "name", "ticker": "ticker"})
 
@@ -461,8 +566,70 @@ def delimited_scan(spark, sf_dir):
 
 @query("SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events")
 def json_map_scan(spark, sf_dir):
-    parsed = F.from_json("props", "struct<k:bigint>")
-    return table(spark, sf_dir, "events").select("event_id", parsed["k"].alias("k"))
+    parsed = scans.parsed(table(spark, sf_dir, "events").select("event_id", F.col("props").alias("value")), "struct<k:bigint>")
+    return parsed.select("event_id", "value.k")
+
+
+@query("SELECT CAST(p_partkey AS BIGINT) AS cik, p_brand AS ticker, p_name AS title FROM part")
+def ticker_map_scan(spark, sf_dir):
+    """Part rows written as objects of objects, whose outer keys mean nothing, and read back."""
+    inner = F.struct(F.col("p_partkey").alias("cik_str"), F.col("p_brand").alias("ticker"), F.col("p_name").alias("title"))
+    packed = table(spark, sf_dir, "part").groupBy(F.floor(F.col("p_partkey") / 500).alias("b")).agg(F.to_json(F.map_from_entries(F.collect_list(F.struct(F.concat(F.lit("n"), F.col("p_partkey").cast("string")), inner)))).alias("value"))
+    return scans.ticker_map_rows(packed)
+
+
+@query("""SELECT o_custkey AS cik, CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderkey) - 1 AS BIGINT) AS ord, CASE WHEN o_orderkey % 3 <> 0 THEN CAST(CAST(o_orderdate AS DATE) AS VARCHAR) END AS start,
+CAST(CAST(o_orderdate AS DATE) + 90 AS VARCHAR) AS end, o_totalprice AS val FROM orders""")
+def company_fact_scan(spark, sf_dir):
+    """A customer's orders written as a nested fact document, and flattened again."""
+    text = lambda c: F.date_format(c, "yyyy-MM-dd")
+    placed = F.to_date("o_orderdate")
+    item = F.struct("o_orderkey", F.when(F.col("o_orderkey") % 3 != 0, text(placed)).otherwise(F.when(F.col("o_orderkey") % 2 == 0, "")).alias("start"), text(F.date_add(placed, 90)).alias("end"), F.col("o_totalprice").alias("val"), text(F.date_add(placed, 120)).alias("filed"))
+    docs = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("cik")).agg(F.array_sort(F.collect_list(item)).alias("items"))
+    fact = F.create_map(F.lit("us-gaap"), F.create_map(F.lit(specs.DPS_TAGS[0]), F.struct(F.create_map(F.lit("USD/shares"), F.col("items")).alias("units"))))
+    written = docs.select(F.to_json(F.struct("cik", fact.alias("facts"))).alias("value"))
+    read = scans.parsed(written, schemas.COMPANY_FACTS).select("value.*")
+    flat = scans.tag_facts(scans.company_facts(read), specs.DPS_TAGS[0], ("USD/shares",))
+    return flat.select("cik", "ord", day("start"), day("end"), "val")
+
+
+@query("""WITH e AS (SELECT user_id AS cik, event_id, event_type, CASE event_type WHEN 'view' THEN '8-K' WHEN 'click' THEN '8-K/A' WHEN 'purchase' THEN '25' WHEN 'signup' THEN '25/A' ELSE '10-Q' END AS form,
+CASE event_id % 4 WHEN 0 THEN '5.02, 3.01,9.01' WHEN 1 THEN ' 4.02 ' WHEN 2 THEN '9.01' ELSE '' END AS items FROM events)
+SELECT cik, form, 'a' || event_id AS accession, items, CASE WHEN form = '25' THEN 'delisting_form' WHEN event_id % 4 = 0 THEN 'delisting_notice,officer_departure' ELSE 'non_reliance_on_financials' END AS event
+FROM e WHERE form = '25' OR (form LIKE '8-K%' AND event_id % 4 < 2)""")
+def flagged_filings(spark, sf_dir):
+    """A user's events as the parallel arrays of a filer, flagged by form and item."""
+    kind, key = F.col("event_type"), F.col("event_id")
+    form = F.when(kind == "view", "8-K").when(kind == "click", "8-K/A").when(kind == "purchase", "25").when(kind == "signup", "25/A").otherwise("10-Q")
+    items = F.when(key % 4 == 0, "5.02, 3.01,9.01").when(key % 4 == 1, " 4.02 ").when(key % 4 == 2, "9.01").otherwise("")
+    one = F.struct("event_id", form.alias("form"), items.alias("items"), F.date_format("ts", "yyyy-MM-dd").alias("day"))
+    filers = table(spark, sf_dir, "events").groupBy("user_id").agg(F.array_sort(F.collect_list(one)).alias("f"))
+    recent = F.struct(F.col("f.form").alias("form"), F.col("f.day").alias("filingDate"), F.transform("f.event_id", lambda i: F.concat(F.lit("a"), i.cast("string"))).alias("accessionNumber"), F.col("f.items").alias("items"))
+    payload = filers.select(F.lpad(F.col("user_id").cast("string"), 10, "0").alias("cik"), F.struct(recent.alias("recent")).alias("filings"))
+    return flags.flagged_filings(scans.submissions(payload)).select("cik", "form", "accession", "items", "event")
+
+
+@query("""WITH e AS (SELECT user_id AS cik, event_id, event_id % 5 = 0 AS old, CASE WHEN event_type <> 'error' THEN event_type || event_id % 7 END AS accession FROM events)
+SELECT cik, accession, min(event_id) AS event_id FROM e WHERE NOT old AND NOT EXISTS (SELECT 1 FROM e o WHERE o.old AND o.cik = e.cik AND o.accession IS NOT DISTINCT FROM e.accession) GROUP BY ALL""")
+def new_by_company_and_accession(spark, sf_dir):
+    """Events not in the log yet, which holds every fifth; a null accession equals a null one."""
+    accession = F.when(F.col("event_type") != "error", F.concat("event_type", (F.col("event_id") % 7).cast("string")))
+    e = table(spark, sf_dir, "events").select(F.col("user_id").alias("cik"), accession.alias("accession"), "event_id")
+    return flags.add_new(e.filter("event_id % 5 = 0"), e.filter("event_id % 5 <> 0"), ["event_id"])
+
+
+@query("""WITH t AS (SELECT o_orderkey, CASE o_orderkey % 5 WHEN 0 THEN strftime(o_orderdate, '%Y-%m-%d') WHEN 1 THEN strftime(o_orderdate, '%Y/%m/%d') WHEN 2 THEN strftime(o_orderdate, '%Y-%m-31') WHEN 3 THEN NULL ELSE strftime(o_orderdate, '%Y-%m') END AS s FROM orders)
+SELECT o_orderkey, CASE WHEN regexp_full_match(s, '[0-9]{4}-[0-9]{2}-[0-9]{2}') THEN CAST(TRY_CAST(s AS DATE) AS VARCHAR) END AS d FROM t""")
+def strict_dates(spark, sf_dir):
+    key = F.col("o_orderkey") % 5
+    text = F.when(key == 0, F.date_format("o_orderdate", "yyyy-MM-dd")).when(key == 1, F.date_format("o_orderdate", "yyyy/MM/dd")).when(key == 2, F.date_format("o_orderdate", "yyyy-MM-'31'")).when(key == 4, F.date_format("o_orderdate", "yyyy-MM"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", scalars.iso_date(text).alias("d")).select("o_orderkey", day("d"))
+
+
+@query("""SELECT '{"custkey":' || c_custkey || ',"name":"' || c_name || '","segment":' || CASE WHEN c_custkey % 4 = 0 THEN 'null' ELSE '"' || c_mktsegment || '"' END || '}' AS value FROM customer""")
+def canonical_json(spark, sf_dir):
+    c = table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")).alias("segment"), F.col("c_name").alias("name"), F.col("c_custkey").alias("custkey"))
+    return publish.canonical_json(c)
 
 
 @query("SELECT c_mktsegment AS exchange, c_name AS ticker FROM (SELECT *, row_number() OVER (PARTITION BY upper(c_name) ORDER BY c_custkey) AS n FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_name <> '') WHERE n = 1")
@@ -479,13 +646,14 @@ def allowlist_projection(spark, sf_dir):
 
 @query("SELECT user_id, CAST(count(*) AS BIGINT) AS total, CAST(count(*) FILTER (event_type = 'error') AS BIGINT) AS failed FROM events GROUP BY user_id HAVING count(*) FILTER (event_type = 'error') / count(*) > 0.2")
 def failure_fraction(spark, sf_dir):
-    failed = F.count_if(F.col("event_type") == "error")
-    return table(spark, sf_dir, "events").groupBy("user_id").agg(F.count("*").alias("total"), failed.alias("failed")).filter(F.col("failed") / F.col("total") > 0.2)
+    outcome = F.when(F.col("event_type") == "error", "failed").otherwise("ok")
+    shares = quality.failure_share(table(spark, sf_dir, "events").select("user_id", outcome.alias("status")), "user_id")
+    return shares.filter("share > 0.2").select("user_id", "total", "failed")
 
 
 @query("SELECT event_type, CAST(CAST(ts AS DATE) AS VARCHAR) AS d, CAST(count(*) AS BIGINT) AS n FROM events GROUP BY ALL")
 def event_counts(spark, sf_dir):
-    return table(spark, sf_dir, "events").groupBy("event_type", F.to_date("ts").alias("d")).agg(F.count("*").alias("n")).select("event_type", day("d"), "n")
+    return diff.event_counts(table(spark, sf_dir, "events").select("event_type", F.to_date("ts").alias("d")), "event_type", "d").select("event_type", day("d"), "n")
 
 
 @query("SELECT c_custkey, sha256(printf('CIK%010d', c_custkey) || '|' || c_name || '|' || c_mktsegment) AS fingerprint FROM customer")
@@ -496,9 +664,9 @@ def row_fingerprint(spark, sf_dir):
 
 @query("SELECT event_type, strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS bucket_start, CAST(count(*) AS BIGINT) AS mentions, round(sum(round(value * 100)) / 100, 2) AS engagement FROM events GROUP BY ALL")
 def hour_buckets(spark, sf_dir):
-    e = table(spark, sf_dir, "events").groupBy("event_type", F.window("ts", "1 hour").alias("w"))
-    out = e.agg(F.count("*").alias("mentions"), F.round(F.sum(F.round(F.col("value") * 100)) / 100, 2).alias("engagement"))
-    return out.select("event_type", F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("bucket_start"), "mentions", "engagement")
+    cents = table(spark, sf_dir, "events").select("event_type", "ts", F.round(F.col("value") * 100).alias("value"))
+    out = listings.hourly_metrics(cents)
+    return out.select("event_type", F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("bucket_start"), "mentions", F.round(F.col("engagement") / 100, 2).alias("engagement"))
 
 
 @query("SELECT c_custkey, CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment, CAST(c_custkey AS VARCHAR)) AS BIGINT) AS rank FROM customer")

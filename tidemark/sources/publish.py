@@ -1,11 +1,12 @@
 """Datasets with manifests: canonical bytes, staged publication, verified reads.
 
 A publication becomes visible by its manifest, which is renamed into place last. Reading starts from the manifest and refuses
-files it does not list or whose digest differs. Files here are reference data of bounded size; bulk results are written by Spark.
+files it does not list or whose digest differs. Rows are written by executors; the driver moves files and strings their bytes together.
 """
 
 from __future__ import annotations
 
+import contextlib
 import datetime as dt
 import gzip
 import hashlib
@@ -29,12 +30,40 @@ def canonical_json(df: DataFrame) -> DataFrame:
     return df.select(F.to_json(F.struct(*sorted(df.columns)), {"ignoreNullFields": "false"}).alias("value"))
 
 
-def json_payload(df: DataFrame, order: list, compress: bool = False) -> tuple[bytes, int]:
-    """The rows as JSON lines in a total order, and their number, counted on the way. Compressed bytes carry no time."""
+def text_file(lines: DataFrame, target: Path, compress: bool = False, head: Path | None = None) -> int:
+    """Ordered text rows (value) as one file, after the lines of ``head``; the number of rows. Compressed bytes carry no time.
+
+    Executors write the parts; here their bytes are only strung together, block by block.
+    """
     seen = Observation("rows")
-    lines = canonical_json(df.orderBy(*order).observe(seen, F.count(F.lit(1)).alias("n")))
-    text = "".join(f"{r['value']}\n" for r in lines.collect()).encode()
-    return (gzip.compress(text, mtime=0) if compress else text), int(seen.get["n"])
+    target.parent.mkdir(parents=True, exist_ok=True)
+    parts = target.with_name(f".{target.name}.parts")
+    temporary = target.with_name(f".{target.name}.tmp")
+    try:
+        lines.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("overwrite").text(parts.as_uri())
+        with temporary.open("wb") as raw, gzip.GzipFile(filename="", fileobj=raw, mode="wb", mtime=0) if compress else contextlib.nullcontext(raw) as out:
+            if head is not None and head.exists():
+                _copy_lines(head, out)
+            for part in sorted(parts.glob("part-*")):
+                with part.open("rb") as f:
+                    shutil.copyfileobj(f, out, 1 << 20)
+        os.replace(temporary, target)
+    finally:
+        shutil.rmtree(parts, ignore_errors=True)
+        temporary.unlink(missing_ok=True)
+    return int(seen.get["n"])
+
+
+def _copy_lines(path: Path, out) -> None:
+    """The lines of a text file with line feeds only, the last one included."""
+    with path.open(encoding="utf-8", newline=None) as f:
+        for line in f:
+            out.write((line.removesuffix("\n") + "\n").encode())
+
+
+def json_file(df: DataFrame, order: list, target: Path, compress: bool = False) -> int:
+    """The rows as JSON lines in a total order, and their number."""
+    return text_file(canonical_json(df.orderBy(*order)), target, compress)
 
 
 def sha256_of(path: Path) -> str:
@@ -52,23 +81,36 @@ def write_atomically(path: Path, data: bytes) -> None:
     os.replace(temporary, path)
 
 
-def build_manifest(folder: Path, source_urls: Iterable[str], license_note: str, rows: Mapping[str, int] | None = None, extra: Mapping | None = None, generated_at: str | None = None) -> dict:
-    """What a folder holds: files by name with digest, size and, where known, rows. Hidden files and folders are left out."""
-    rows = rows or {}
-    files = []
+def _files(folder: Path) -> dict[str, Path]:
+    """What a folder holds by name: files, and the parts of tables (folders named .parquet). Hidden ones are left out."""
+    out = {}
     for p in sorted(folder.iterdir()):
-        if p.is_file() and p.name != MANIFEST and not p.name.startswith("."):
-            files.append({"name": p.name, "sha256": sha256_of(p), "bytes": p.stat().st_size} | ({"rows": rows[p.name]} if p.name in rows else {}))
+        if p.name == MANIFEST or p.name.startswith("."):
+            continue
+        if p.is_file():
+            out[p.name] = p
+        elif p.suffix == ".parquet":
+            out |= {f"{p.name}/{q.name}": q for q in sorted(p.glob("part-*"))}
+    return out
+
+
+def build_manifest(files: Mapping[str, Path], source_urls: Iterable[str], license_note: str, rows: Mapping[str, int] | None = None, extra: Mapping | None = None, generated_at: str | None = None) -> dict:
+    """Files by name with digest, size and, where known, rows."""
+    rows = rows or {}
+    entries = [{"name": name, "sha256": sha256_of(p), "bytes": p.stat().st_size} | ({"rows": rows[name]} if name in rows else {}) for name, p in sorted(files.items())]
     now = generated_at or dt.datetime.now(dt.timezone.utc).isoformat(timespec="seconds")
-    return {"schema_version": SCHEMA_VERSION, "generated_at_utc": now, "source_urls": sorted(source_urls), "license_note": license_note, "files": files} | dict(extra or {})
+    return {"schema_version": SCHEMA_VERSION, "generated_at_utc": now, "source_urls": sorted(source_urls), "license_note": license_note, "files": entries} | dict(extra or {})
 
 
-def write_manifest(folder: Path, **what) -> dict:
-    made = build_manifest(folder, **what)
+def _write_manifest(folder: Path, made: dict) -> dict:
     write_atomically(folder / MANIFEST, (json.dumps(made, indent=2, sort_keys=True) + "\n").encode())
     return made
 
 
+def write_manifest(folder: Path, **what) -> dict:
+    return _write_manifest(folder, build_manifest(_files(folder), **what))
+
+
 def read_manifest(folder: Path) -> dict:
     path = folder / MANIFEST
     if not path.is_file():
@@ -90,8 +132,11 @@ def generated_at(folder: Path) -> dt.datetime:
     return when.astimezone(dt.timezone.utc)
 
 
-def publish(folder: Path, staged: Mapping[str, bytes], source_urls: Iterable[str], license_note: str, rows: Mapping[str, int] | None = None, extra: Mapping | None = None, generated_at: str | None = None) -> dict:
-    """Replace the staged files of a dataset, keep its others with their row counts, manifest last; an error changes nothing."""
+def publish(folder: Path, staged: Mapping[str, bytes | Path], source_urls: Iterable[str], license_note: str, rows: Mapping[str, int] | None = None, extra: Mapping | None = None, generated_at: str | None = None) -> dict:
+    """Replace the staged files and tables of a dataset, keep its others with their row counts, manifest last; an error changes nothing.
+
+    A staged entry is its bytes, or the path of a written file or, for a name ending in .parquet, of a written table; paths are moved.
+    """
     folder.mkdir(parents=True, exist_ok=True)
     old = read_manifest(folder) if (folder / MANIFEST).exists() else {"files": []}
     known = {f["name"]: f["rows"] for f in old["files"] if "rows" in f}
@@ -99,16 +144,19 @@ def publish(folder: Path, staged: Mapping[str, bytes], source_urls: Iterable[str
     shutil.rmtree(stage, ignore_errors=True)
     stage.mkdir()
     try:
-        for p in folder.iterdir():
-            if p.is_file() and p.name != MANIFEST and not p.name.startswith(".") and p.name not in staged:
-                shutil.copy2(p, stage / p.name)
         for name, data in staged.items():
-            (stage / name).write_bytes(data)
-        made = write_manifest(stage, source_urls=source_urls, license_note=license_note, rows={**{k: v for k, v in known.items() if k not in staged}, **(rows or {})}, extra=extra, generated_at=generated_at)
+            if isinstance(data, bytes):
+                (stage / name).write_bytes(data)
+            else:
+                os.replace(data, stage / name)
+        kept = {n: p for n, p in _files(folder).items() if n.split("/")[0] not in staged}
+        counts = {**{k: v for k, v in known.items() if k in kept}, **(rows or {})}
+        made = build_manifest({**kept, **_files(stage)}, source_urls, license_note, counts, extra, generated_at)
         for name in staged:
+            if (folder / name).is_dir():
+                os.replace(folder / name, stage / f".old-{name}")
             os.replace(stage / name, folder / name)
-        os.replace(stage / MANIFEST, folder / MANIFEST)
-        return made
+        return _write_manifest(folder, made)
     finally:
         shutil.rmtree(stage, ignore_errors=True)
 
@@ -131,15 +179,23 @@ def read_verified(spark: SparkSession, folder: Path, name: str, schema: str) ->
     return json_lines(spark, path.as_uri(), schema)
 
 
-def write_table(df: DataFrame, path: str) -> None:
-    """A Parquet result; an empty one keeps its columns."""
-    df.write.mode("overwrite").parquet(path)
+def write_table(df: DataFrame, path: Path) -> dict[str, int]:
+    """A Parquet table to be staged, and its rows by part name; an empty one keeps its columns."""
+    df.write.mode("overwrite").parquet(path.as_uri())
+    parts = df.sparkSession.read.schema(df.schema).parquet(path.as_uri()).groupBy(F.col("_metadata.file_name").alias("f")).count().collect()  # a row per part
+    return {p.name: 0 for p in path.glob("part-*")} | {r["f"]: r["count"] for r in parts}
 
 
-def heartbeat(folder: Path, text: str) -> None:
-    write_atomically(folder / "heartbeat.txt", (text + "\n").encode())
+def read_table(spark: SparkSession, folder: Path, name: str) -> DataFrame:
+    """A published table, all parts of which are what the manifest lists, and no others."""
+    listed = [f["name"] for f in read_manifest(folder)["files"] if f["name"].startswith(f"{name}/")]
+    there = [n for n in _files(folder) if n.startswith(f"{name}/")]
+    if not listed or sorted(listed) != sorted(there):
+        raise RefusalError(f"{folder / name} is not the table its manifest lists")
+    for n in listed:
+        verified_path(folder, n)
+    return spark.read.parquet((folder / name).as_uri())
 
 
-def normalised_log(text: str) -> str:
-    """Log lines with line feeds only, the last one included."""
-    return "".join(f"{line}\n" for line in text.splitlines())
+def heartbeat(folder: Path, text: str) -> None:
+    write_atomically(folder / "heartbeat.txt", (text + "\n").encode())

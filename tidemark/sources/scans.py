@@ -13,11 +13,19 @@ def _whole(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path, wholetext=True)
 
 
+def parsed(df: DataFrame, schema: str, column: str = "value") -> DataFrame:
+    """``df`` with the JSON text of a column as a value of ``schema`` (a type, or columns)."""
+    return df.withColumn(column, F.from_json(column, schema))
+
+
+def ticker_map_rows(df: DataFrame) -> DataFrame:
+    """Objects of objects (value); the outer keys mean nothing."""
+    maps = parsed(df, "map<string,struct<cik_str:bigint,ticker:string,title:string>>")
+    return maps.select(F.explode(F.map_values("value")).alias("r")).select(F.col("r.cik_str").alias("cik"), "r.ticker", "r.title")
+
+
 def sec_tickers(spark: SparkSession, path: str) -> DataFrame:
-    """An object of objects; the outer keys mean nothing."""
-    inner = "map<string,struct<cik_str:bigint,ticker:string,title:string>>"
-    rows = _whole(spark, path).select(F.explode(F.map_values(F.from_json("value", inner))).alias("r"))
-    return rows.select(F.col("r.cik_str").alias("cik"), "r.ticker", "r.title").orderBy("cik", "ticker")
+    return ticker_map_rows(_whole(spark, path)).orderBy("cik", "ticker")
 
 
 def columnar_rows(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -33,8 +41,8 @@ def columnar_rows(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def sec_exchange(spark: SparkSession, path: str) -> DataFrame:
     """Parallel header and rows; ``name`` is published as ``title``."""
-    parsed = _whole(spark, path).select(F.from_json("value", "struct<fields:array<string>,data:array<array<string>>>").alias("d")).select("d.*")
-    rows = columnar_rows(parsed, {"cik": "cik", "ticker": "ticker", "title": "name", "exchange": "exchange"})
+    tables = parsed(_whole(spark, path), "struct<fields:array<string>,data:array<array<string>>>").select("value.*")
+    rows = columnar_rows(tables, {"cik": "cik", "ticker": "ticker", "title": "name", "exchange": "exchange"})
     return rows.withColumn("cik", F.col("cik").cast("bigint")).orderBy("cik", F.coalesce("ticker", F.lit("")))
 
 
@@ -115,7 +123,7 @@ def listed(rows: DataFrame, exchanges: tuple[str, ...] = specs.LISTED_EXCHANGES,
     return first_wins(ok, ["__k"], [order]).drop("__k")
 
 
-def universe(rows: DataFrame, limit: int | None, order: str = "ord") -> DataFrame:
-    """Distinct companies in the order they first appear; no limit, or zero, means all."""
+def universe(rows: DataFrame, limit: int | None, order: str = "ord", first: str | None = None) -> DataFrame:
+    """Distinct companies in the order they first appear, on demand with that place; no limit, or zero, means all."""
     seen = rows.filter("cik IS NOT NULL").groupBy("cik").agg(F.min(order).alias("__o")).orderBy("__o")
-    return (seen.limit(limit) if limit else seen).select("cik")
+    return (seen.limit(limit) if limit else seen).select("cik", *([F.col("__o").alias(first)] if first else []))
