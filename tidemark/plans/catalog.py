@@ -472,6 +472,12 @@ def per_share_facts(spark, sf_dir):
 _RATIOS = "sp AS (SELECT o_custkey % 100 AS cik, CAST(o_orderdate AS DATE) AS d, CASE o_orderkey % 3 WHEN 0 THEN 0.5 WHEN 1 THEN 2.0 ELSE 4.0 END::DOUBLE AS ratio FROM orders WHERE o_orderpriority LIKE '1%' AND o_totalprice < 20000)"
 
 
+def _later_splits(spark, sf_dir) -> DataFrame:
+    ratio = F.when(F.col("o_orderkey") % 3 == 0, 0.5).when(F.col("o_orderkey") % 3 == 1, 2.0).otherwise(4.0)
+    small = table(spark, sf_dir, "orders").filter("o_orderpriority LIKE '1%' AND o_totalprice < 20000")
+    return small.select((F.col("o_custkey") % 100).alias("cik"), F.to_date("o_orderdate").alias("effective_date"), ratio.alias("ratio"))
+
+
 @query(f"""WITH {_FACT_SPANS}, {_RATIOS},
 fd AS (SELECT DISTINCT cik, filed FROM ok), fa AS (SELECT fd.cik, fd.filed, product(sp.ratio) AS factor FROM fd JOIN sp ON sp.cik = fd.cik AND sp.d > fd.filed GROUP BY ALL),
 b AS (SELECT ok.*, val / coalesce(factor, 1.0) AS dps FROM ok LEFT JOIN fa USING (cik, filed)),
@@ -480,9 +486,7 @@ SELECT cik, CAST(start AS VARCHAR) AS period_start, CAST(e AS VARCHAR) AS period
 CASE WHEN unit = 'pure' THEN 'suspect_unit,' ELSE '' END || CASE WHEN hi > 0 AND (hi - lo) / hi > 0.015 THEN 'restatement_disagreement' ELSE '' END AS flags FROM k WHERE n = 1""")
 def per_share_periods(spark, sf_dir):
     """Per-share records on today's share basis, from facts of three tags and the splits after their filing."""
-    ratio = F.when(F.col("o_orderkey") % 3 == 0, 0.5).when(F.col("o_orderkey") % 3 == 1, 2.0).otherwise(4.0)
-    changes = table(spark, sf_dir, "orders").filter("o_orderpriority LIKE '1%' AND o_totalprice < 20000").select((F.col("o_custkey") % 100).alias("cik"), F.to_date("o_orderdate").alias("effective_date"), ratio.alias("ratio"))
-    found = facts.per_share_periods(_quarter_facts(spark, sf_dir), changes)
+    found = facts.per_share_periods(_quarter_facts(spark, sf_dir), _later_splits(spark, sf_dir))
     tag_no = F.array_position(F.array(*[F.lit(t) for t in specs.DPS_TAGS]), F.col("source_tag")) - 1
     has = lambda f: F.array_contains("flags", f)
     flags_ = F.concat(F.when(has("suspect_unit"), "suspect_unit,").otherwise(""), F.when(has("restatement_disagreement"), "restatement_disagreement").otherwise(""))
@@ -497,6 +501,12 @@ n AS (SELECT *, sum(s) OVER (PARTITION BY cik, ratio ORDER BY e) AS k FROM g),
 cl AS (SELECT cik, ratio, min(e) AS d, min(filed) AS filed, bool_or(high) AS high FROM n GROUP BY cik, ratio, k)"""
 
 
+def _share_counts(spark, sf_dir) -> DataFrame:
+    """Five yearly share counts of each customer."""
+    counts = F.array(*[F.struct(F.to_date(F.lit(f"{y}-06-30")).alias("end"), F.lit(v).alias("v")) for y, v in zip(range(1996, 2001), (1.0, 2.0, 9.0, 8.0, 1.0), strict=True)])
+    return table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.explode(counts).alias("s")).select("cik", "s.end", (F.col("s.v") * (1 + F.col("cik") % 3)).alias("val"))
+
+
 def _split_facts(spark, sf_dir) -> DataFrame:
     key, end = F.col("o_orderkey"), F.to_date("o_orderdate")
     val = F.when(key % 6 == 0, 2.0).when(key % 6 == 1, 0.5).when(key % 6 == 2, 150.0).when(key % 6 == 3, 1.0).when(key % 6 == 4, 0.0).otherwise(8.0)
@@ -520,12 +530,34 @@ SELECT cik, CAST(d AS VARCHAR) AS effective_date, CASE WHEN turned THEN 1 / rati
 CASE WHEN turned THEN 'direction_inverted_by_share_check' ELSE '' END AS flags FROM t""")
 def split_events(spark, sf_dir):
     """Splits from facts: candidates, chains of equal ratios, direction checked against share counts."""
-    counts = F.array(*[F.struct(F.to_date(F.lit(f"{y}-06-30")).alias("end"), F.lit(v).alias("v")) for y, v in zip(range(1996, 2001), (1.0, 2.0, 9.0, 8.0, 1.0), strict=True)])
-    shares = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.explode(counts).alias("s")).select("cik", "s.end", (F.col("s.v") * (1 + F.col("cik") % 3)).alias("val"))
-    found = facts.splits(_split_facts(spark, sf_dir), shares)
+    found = facts.splits(_split_facts(spark, sf_dir), _share_counts(spark, sf_dir))
     return found.select("cik", day("effective_date"), "ratio", "confidence", day("filed"), F.array_join("flags", ",").alias("flags"))
 
 
+_SHARE_DAYS = ("1996-06-30", "1997-06-30", "1998-06-30", "1999-06-30", "2000-06-30")
+
+
+@query(f"""WITH {_RATIOS}, q AS (SELECT o_custkey AS cik, CASE WHEN o_orderpriority < '3' AND o_custkey % 3 <> 0 THEN 0 ELSE 1 END AS i, year(o_orderdate) AS y, quarter(o_orderdate) AS q, sum(round(o_totalprice * 100)) AS c FROM orders GROUP BY ALL),
+t AS (SELECT cik, i, y, q, sum(c) OVER (PARTITION BY cik, i, y ORDER BY q) AS ytd, make_date(y, 1, 1) AS s, CAST(make_date(y, q * 3, 1) + INTERVAL 1 MONTH AS DATE) - 1 AS e FROM q),
+d AS (SELECT cik, i, coalesce(lag(e) OVER w + 1, s) AS ps, e AS pe, ytd - coalesce(lag(ytd) OVER w, 0) AS v FROM t WINDOW w AS (PARTITION BY cik, i, y ORDER BY q)),
+k AS (SELECT *, CASE WHEN pe - ps BETWEEN 25 AND 35 THEN 'monthly' WHEN pe - ps BETWEEN 70 AND 100 THEN 'quarterly' WHEN pe - ps BETWEEN 150 AND 200 THEN 'semiannual' END AS span FROM d),
+sh AS (SELECT c_custkey AS cik, unnest([{", ".join(f"DATE '{d}'" for d in _SHARE_DAYS)}]) AS e, unnest([1.0, 2.0, 9.0, 8.0, 1.0]) * (1 + c_custkey % 3) AS val FROM customer),
+m AS (SELECT k.*, sh.e AS at, sh.val, row_number() OVER (PARTITION BY k.cik, i, ps, pe ORDER BY abs(sh.e - pe), sh.e) AS n FROM k JOIN sh ON sh.cik = k.cik AND abs(sh.e - pe) <= 180 WHERE span IS NOT NULL),
+f AS (SELECT m.*, (SELECT product(sp.ratio) FROM sp WHERE sp.cik = m.cik AND sp.d > m.at) AS factor FROM m WHERE n = 1)
+SELECT cik, CAST(ps AS VARCHAR) AS period_start, CAST(pe AS VARCHAR) AS period_end, span AS span_type, greatest(v, 0) / val / coalesce(factor, 1.0) AS dps, CAST(i AS INT) AS tag_no FROM f QUALIFY i = min(i) OVER (PARTITION BY cik)""")
+def cash_per_share(spark, sf_dir):
+    """Approximate per-share records: yearly running totals of two tags over the nearest share count, on today's basis; one tag per company."""
+    tag_no = F.when((F.col("o_orderpriority") < "3") & (F.col("o_custkey") % 3 != 0), 0).otherwise(1)
+    orders = table(spark, sf_dir, "orders")
+    q = orders.groupBy(F.col("o_custkey").alias("cik"), tag_no.alias("i"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).agg(F.sum(F.round(F.col("o_totalprice") * 100)).alias("c"))
+    total = F.sum("c").over(Window.partitionBy("cik", "i", "y").orderBy("q").rowsBetween(Window.unboundedPreceding, 0))
+    end = F.last_day(F.make_date("y", F.col("q") * 3, F.lit(1)))
+    paid = q.select("cik", F.element_at(F.array(*[F.lit(t) for t in specs.CASH_TAGS]), F.col("i") + 1).alias("tag"), F.lit("USD").alias("unit"), F.lit(0).cast("bigint").alias("ord"), F.make_date("y", F.lit(1), F.lit(1)).alias("start"), end.alias("end"), total.alias("val"), end.alias("filed"))
+    found = facts.cash_fallback(paid, _share_counts(spark, sf_dir), _later_splits(spark, sf_dir))
+    index = F.array_position(F.array(*[F.lit(t) for t in specs.CASH_TAGS]), F.col("source_tag")) - 1
+    return found.select("cik", day("period_start"), day("period_end"), "span_type", "dps", index.cast("int").alias("tag_no"))
+
+
 # --- scans, flags and policy ---------------------------------------------------------------------------------------
 
 
