@@ -16,12 +16,14 @@ _scratch: dict[str, list[str]] = {}
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The folder all machines share: ``spark.checkpoint.dir``; one of our own only where it is unset."""
+    """The folder all machines share: ``spark.checkpoint.dir``; where it is unset, one of our own if all runs on this machine, else an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         jvm_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
         root = jvm_dir.get() if jvm_dir.isDefined() else None
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         spark.sparkContext.setCheckpointDir(root)
     return root.rstrip("/")
@@ -90,6 +92,16 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def free_names(df: DataFrame, *stems: str) -> list[str]:
+    """A column name for each stem that ``df`` does not have yet."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for stem in stems:
+        while stem.lower() in taken:
+            stem += "_"
+        taken.add(stem.lower())
+        out.append(stem)
+    return out
 
 
 def tidy(run):

@@ -11,11 +11,15 @@ Exact sets of distinct five-word shingles; two documents link at a Jaccard simil
    as the shingles ask for; cells too full for a bucket's memory go through a shuffled aggregation instead.
 3. Sets under one token become a star of pairs around their least key, never all pairs. Sizes and the Hamming distance of
    parity bits, two to four a shingle, a lower bound of the symmetric difference, discard pairs; whole sets verify the others.
-4. Components of verified links. Wherever sets under one token are still in different components, their pairs across components
-   are verified as well (after the same two bounds), so no component is lost.
-5. Links are counted, where asked for, within components: linked sets share one. The sets of a component, in order of size, form blocks; each
-   pair of blocks whose sizes allow a link is compared whole in one task, as a product of membership matrices, so that a set travels once a
-   pair of blocks and not once a pair of sets. A component of two has the one link that made it.
+4. Components of verified links. Two sets that share a token are members of one leader's stars, whatever the tokens were; so the members
+   of each leader, each once, are compared by their parity bits in blocks, and only pairs across components that these bits allow
+   are made and verified: first the closest of each two components in a block, then, where components are still apart, all.
+5. Links are counted, where asked for, within components: linked sets share one, and blocks of whole sets are compared as
+   products of membership matrices. A component of two has the one link that made it.
+
+Blocks (4 and 5): a group of up to BLOCK_SETS sets is one job; a larger one is cut by size class, so that links only reach the next
+class, and by a hash of the set. A job holds two blocks and a task some jobs, whatever the size of a group; a set travels once
+for each block it is compared with. No step pairs the rows of a group by a join.
 
 Defined results: null text and text without words have no shingles, link with nothing and are their own component; fewer
 than five words are one shingle; repeated rows are rows of one class; a null ``doc_id`` takes part, but names a component only
@@ -28,12 +32,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm import shingles as S
-from tidemark.llm.common import documents, shuffle_partitions, staged, tidy
-from tidemark.llm.components import components
+from tidemark.llm.common import documents, free_names, shuffle_partitions, staged, tidy
+from tidemark.llm.components import components, merged
 
 CELLS = 1 << 18
 #: A cell counted more often than this is not dealt to a bucket (12 bytes an entry).
@@ -44,9 +49,14 @@ FLUSH = 600_000
 SLICE = 500
 #: Up to this many representatives, their ids are broadcast; beyond it, texts and ids join by shuffle.
 BROADCAST_IDS = 2_000_000
-#: Sets of a component that are compared with as many others in one task, and shingles that a product takes at a time.
+#: Sets that are compared with as many others in one job, shingles that a product takes at a time, and bytes of a task's jobs.
 BLOCK_SETS = 256
 BLOCK_GRAMS = 8192
+TASK_BYTES = 16 << 20
+#: Words of parity bits that are compared at once.
+SPAN_WORDS = 1 << 20
+#: Groups cut into blocks are broadcast up to this number; beyond it, their members meet them by shuffle.
+BROADCAST_GROUPS = 100_000
 
 
 def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -60,7 +70,9 @@ def _ids(docs: DataFrame) -> str:
 
 
 def profile(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
-    """Stored rows (doc_id, n, sig, sketch, wide) and the count of sketch tokens by cell."""
+    """Stored rows (doc_id, n, sig, wide) and the count of sketch tokens by cell."""
+    names = ["doc_id", "n", "sig", "wide", "cell", "count"]
+    kinds = [to_arrow_type(docs.schema["doc_id"].dataType), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weight, seen = np.zeros(CELLS, np.int64), set()
@@ -72,20 +84,14 @@ def profile(docs: DataFrame) -> tuple[DataFrame, np.ndarray]:
                     seen.add(sig)
                     for band, _ in S.bands(len(s)):
                         np.add.at(weight, S.cells(S.block_tokens(s, band)[0], weight), 1)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), pa.array([S.parity_bits(s, S.SHORT) for s in sets], pa.list_(pa.int64())), pa.array([S.parity_bits(s, S.wide_bits(len(s))) for s in sets], pa.list_(pa.int64())), pa.nulls(len(sets), pa.list_(pa.int32())), pa.nulls(len(sets), pa.list_(pa.int64()))],
-                ["doc_id", "n", "sig", "sketch", "wide", "cell", "count"],
-            )
+            wide = [S.parity_words(s, S.wide_bits(len(s))) for s in sets]
+            wide = pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, wide)]), pa.int32()), pa.array(np.concatenate(wide)))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(sigs, pa.int64()), wide, *[pa.nulls(len(sets), k) for k in kinds[4:]]], names)
         used = np.flatnonzero(weight)
-        yield pa.RecordBatch.from_arrays(
-            [pa.nulls(1, pa_id), pa.array([None], pa.int64()), pa.array([None], pa.int64()), pa.array([None], pa.list_(pa.int64())), pa.array([None], pa.list_(pa.int64())), pa.array([used.astype(np.int32)], pa.list_(pa.int32())), pa.array([weight[used]], pa.list_(pa.int64()))],
-            ["doc_id", "n", "sig", "sketch", "wide", "cell", "count"],
-        )
-
-    from pyspark.sql.pandas.types import to_arrow_type
+        yield pa.RecordBatch.from_arrays([*[pa.nulls(1, k) for k in kinds[:4]], pa.array([used.astype(np.int32)], kinds[4]), pa.array([weight[used]], kinds[5])], names)
 
-    pa_id = to_arrow_type(docs.schema["doc_id"].dataType)
-    both = staged(docs.select("doc_id", "text").mapInArrow(tidy(run), f"doc_id {_ids(docs)}, n bigint, sig bigint, sketch array<bigint>, wide array<bigint>, cell array<int>, count array<bigint>"), "near-profile")
+    schema = f"doc_id {_ids(docs)}, n bigint, sig bigint, wide array<bigint>, cell array<int>, count array<bigint>"
+    both = staged(docs.select("doc_id", "text").mapInArrow(tidy(run), schema), "near-profile")
     counted = both.filter("cell IS NOT NULL").select(F.explode(F.arrays_zip("cell", "count")).alias("c")).groupBy("c.cell").agg(F.sum("c.count").alias("n")).toPandas()  # CELLS rows at most
     weight = np.zeros(CELLS, np.int64)
     weight[counted["cell"].to_numpy()] = counted["n"].to_numpy()
@@ -131,33 +137,24 @@ def _token_rows(docs: DataFrame, weight: np.ndarray, buckets: int, hot_cell: int
     return docs.select("text").mapInArrow(tidy(run), "bucket bigint, entries binary")
 
 
-def _stars(tokens: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct groups of classes under one token, as rows (g, a, b, n): group key, least class, another, size."""
+def _stars(tokens: np.ndarray, sigs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct pairs (a, b): the least class under a token, and another one under it."""
     order = np.lexsort((sigs, tokens))
     tokens, sigs = tokens[order], sigs[order]
-    fresh = np.concatenate([[True], (tokens[1:] != tokens[:-1]) | (sigs[1:] != sigs[:-1])]) if len(tokens) else np.zeros(0, bool)
-    tokens, sigs = tokens[fresh], sigs[fresh]
     first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])) if len(tokens) else np.zeros(0, int)
-    size = np.diff(np.concatenate([first, [len(tokens)]]))
-    first, size = first[size > 1], size[size > 1]
-    if not len(first):
-        return (np.zeros(0, np.int64),) * 4
-    ends = np.concatenate([[0], np.cumsum(size)])
-    at = np.repeat(first - ends[:-1], size) + np.arange(ends[-1])
-    with np.errstate(over="ignore"):
-        key = S.mix(np.add.reduceat(S.mix(sigs[at].view(np.uint64)), ends[:-1]) + size.astype(np.uint64)).view(np.int64)
-    _, chosen = np.unique(key, return_index=True)
-    spread = np.repeat(np.isin(np.arange(len(first)), chosen), size)
-    lead = np.repeat(sigs[first], size)
-    keep = spread & (np.arange(len(at)) != np.repeat(ends[:-1], size))
-    return np.repeat(key, size)[keep], lead[keep], sigs[at][keep], np.repeat(size, size)[keep]
+    lead = np.repeat(sigs[first], np.diff(np.append(first, len(tokens))))
+    lead, other = lead[lead != sigs], sigs[lead != sigs]
+    order = np.lexsort((other, lead))
+    lead, other = lead[order], other[order]
+    fresh = np.concatenate([[True], (lead[1:] != lead[:-1]) | (other[1:] != other[:-1])]) if len(lead) else np.zeros(0, bool)
+    return lead[fresh], other[fresh]
 
 
 def candidate_stars(docs: DataFrame, weight: np.ndarray, entries: int, hot_cell: int = HOT_CELL) -> DataFrame:
-    """Stored rows (g, a, b, n), each group of classes once."""
+    """Stored pairs (a, b), each once: a leader and a member of its stars."""
     buckets = max(shuffle_partitions(docs.sparkSession), -(-entries // ENTRIES_PER_BUCKET))
     rows = _token_rows(docs, weight, buckets, hot_cell)
-    schema = "g bigint, a bigint, b bigint, n bigint"
+    schema = "a bigint, b bigint"
 
     def run(table: pa.Table) -> pa.Table:
         tokens, sigs = [], []
@@ -166,7 +163,7 @@ def candidate_stars(docs: DataFrame, weight: np.ndarray, entries: int, hot_cell:
             n = len(raw) // 12
             tokens.append(np.frombuffer(raw, "<u4", n))
             sigs.append(np.frombuffer(raw, "<i8", n, 4 * n))
-        return pa.table([pa.array(x, pa.int64()) for x in _stars(np.concatenate(tokens), np.concatenate(sigs))], ["g", "a", "b", "n"])
+        return pa.table([pa.array(x, pa.int64()) for x in _stars(np.concatenate(tokens), np.concatenate(sigs))], ["a", "b"])
 
     if not (weight > hot_cell).any():
         stars = rows.groupBy("bucket").applyInArrow(run, schema)
@@ -182,9 +179,9 @@ def candidate_stars(docs: DataFrame, weight: np.ndarray, entries: int, hot_cell:
                     yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(raw, "<i8", n)), pa.array(np.frombuffer(raw, "<i8", n, 8 * n))], ["g", "b"])
 
         hot = rows.filter("bucket < 0").mapInArrow(spread, "g bigint, b bigint").distinct()
-        lead = hot.groupBy("g").agg(F.min("b").alias("a"), F.count("*").alias("n"))
-        stars = stars.unionByName(hot.join(lead, "g").filter("b <> a").select("g", "a", "b", "n"))
-    return staged(stars.dropDuplicates(["g", "b"]), "near-stars")
+        lead = hot.groupBy("g").agg(F.min("b").alias("a"))
+        stars = stars.unionByName(hot.join(lead, "g").filter("b <> a").select("a", "b"))
+    return staged(stars.distinct(), "near-stars", light=True)
 
 
 def _within_bounds(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -265,62 +262,145 @@ def _shared_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     return out
 
 
+#: Size classes: linked sets (sizes up to 4/3 apart) are in one or in adjacent ones.
+_CLASS = 1.34
+
+
+def _jobs(members: DataFrame, width) -> DataFrame:
+    """``members`` (group, sig, n) dealt to jobs: group, sig, job, side (0 left, 1 right, 2 both), bucket.
+
+    Each two members of a group whose sizes allow a link meet in one job. ``width``: bytes that a member brings to a job.
+    """
+    members = members.withColumn("k", F.floor(F.log(F.col("n")) / F.lit(float(np.log(_CLASS)))).cast("int"))
+    sizes = members.groupBy("group", "k").agg(F.count("*").alias("c"))
+    large = sizes.groupBy("group").agg(F.sum("c").alias("m"), F.collect_list(F.struct("k", F.ceil(F.col("c") / BLOCK_SETS).cast("int").alias("blocks"))).alias("cut")).filter(F.col("m") > BLOCK_SETS)
+    large = staged(large.select("group", F.map_from_entries("cut").alias("cut")), "near-large", light=True)
+    large = F.broadcast(large) if large.count() <= BROADCAST_GROUPS else large
+    k, cut = F.col("k"), lambda step: F.coalesce(F.try_element_at("cut", F.col("k") + step), F.lit(0))
+    mine = F.pmod(F.xxhash64("sig"), F.col("own")).cast("int")
+
+    def meets(n, use):
+        return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), use)).otherwise(F.array().cast("array<struct<job:bigint,side:int>>"))
+
+    def job(k1, x, k2, y, side):
+        return F.struct(F.xxhash64("group", k1, x, k2, y).alias("job"), side.cast("int").alias("side"))
+
+    same = meets(F.col("own"), lambda y: job(k, F.least(y, mine), k, F.greatest(y, mine), F.when(y == mine, 2).when(y < mine, 1).otherwise(0)))
+    up = meets(cut(1), lambda y: job(k, mine, k + 1, y, F.lit(0)))
+    down = meets(cut(-1), lambda y: job(k - 1, y, k, mine, F.lit(1)))
+    alone = F.array(F.struct(F.xxhash64("group").alias("job"), F.lit(2).alias("side")))
+    placed = members.join(large, "group", "left").withColumn("own", cut(0)).withColumn("at", F.when(F.col("cut").isNull(), alone).otherwise(F.concat(same, up, down)))
+    placed = staged(placed.select("group", "sig", "n", "at"), "near-jobs", light=True)
+    total = placed.agg(F.sum(width * F.size("at"))).first()[0] or 0
+    buckets = max(shuffle_partitions(members.sparkSession), -(-int(total) // TASK_BYTES))
+    return placed.select("group", "sig", F.explode("at").alias("at")).select("group", "sig", "at.*", F.pmod(F.xxhash64("at.job"), F.lit(buckets)).alias("bucket"))
+
+
+def _each_job(table: pa.Table) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Per job of a task: rows of the left block, rows of the right one, and which of all pairs of them are meant."""
+    jobs, sides = table.column("job").to_numpy(), table.column("side").to_numpy()
+    order = np.argsort(jobs, kind="stable")
+    ends = np.append(np.flatnonzero(np.diff(jobs[order])) + 1, len(order))
+    for a, z in zip(np.append(0, ends[:-1]), ends, strict=True):
+        rows = order[a:z]
+        side = sides[rows]
+        left, right = rows[side != 1], rows[side != 0]
+        wanted = np.ones((len(left), len(right)), bool)
+        yield left, right, np.triu(wanted, 1) if side[0] == 2 else wanted
+
+
+def _sketch_pairs(table: pa.Table, closest: bool) -> pa.Table:
+    """Pairs (a, b) across components whose parity bits allow a link; of each two components in a job on demand only the closest."""
+    sig, n, component = (table.column(c).to_numpy() for c in ("sig", "n", "component"))
+    wide = table.column("wide").combine_chunks()
+    ends, words = wide.offsets.to_numpy(), wide.values.to_numpy()
+    size = np.diff(ends)
+    found = [np.zeros((0, 2), np.int64)]
+    for left, right, wanted in _each_job(table):
+        small, big = np.minimum(n[left][:, None], n[right][None, :]), np.maximum(n[left][:, None], n[right][None, :])
+        i, j = np.nonzero(wanted & (component[left][:, None] != component[right][None, :]) & (4 * small >= 3 * big))
+        if not len(i):
+            continue
+        one, two = left[i], right[j]
+        apart, level = np.zeros(len(one), np.int64), np.minimum(size[one], size[two])
+        for w in np.unique(level).tolist():
+            at = np.flatnonzero(level == w)
+            used, place = np.unique(np.concatenate([one[at], two[at]]), return_inverse=True)
+            bits = np.stack([_folded(words[ends[r] : ends[r + 1]], w) for r in used])
+            x, y = place[: len(at)], place[len(at) :]
+            step = max(1, SPAN_WORDS // w)
+            for a in range(0, len(at), step):
+                apart[at[a : a + step]] = np.bitwise_count(bits[x[a : a + step]] ^ bits[y[a : a + step]]).sum(axis=1, dtype=np.int64)
+        keep = np.flatnonzero(7 * apart <= n[one] + n[two])
+        if closest and len(keep):
+            ca, cb = component[one[keep]], component[two[keep]]
+            low, high = np.minimum(ca, cb), np.maximum(ca, cb)
+            keep = keep[np.lexsort((apart[keep] / (n[one[keep]] + n[two[keep]]), high, low))]
+            ca, cb = component[one[keep]], component[two[keep]]
+            low, high = np.minimum(ca, cb), np.maximum(ca, cb)
+            keep = keep[np.concatenate([[True], (low[1:] != low[:-1]) | (high[1:] != high[:-1])])]
+        pair = np.stack([sig[one[keep]], sig[two[keep]]], axis=1)
+        found.append(np.sort(pair, axis=1))
+    pairs = np.unique(np.concatenate(found), axis=0)
+    return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+
+def _folded(words: np.ndarray, size: int) -> np.ndarray:
+    while len(words) > size:
+        half = len(words) // 2
+        words = words[:half] ^ words[half:]
+    return words
+
+
+def _across(jobs: DataFrame, classes: DataFrame, tied: DataFrame, closest: bool) -> DataFrame:
+    """Stored pairs (a, b) of members of one leader that are in different components and may link."""
+    placed = classes.select("sig", "n", "wide").join(tied.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
+    whole = jobs.join(placed, "sig").select("bucket", "job", "side", "sig", "n", "component", "wide")
+    found = whole.groupBy("bucket").applyInArrow(lambda table: _sketch_pairs(table, closest), "a bigint, b bigint")
+    return staged(found.distinct(), "near-pairs", light=True)
+
+
+def _edges(links: DataFrame) -> DataFrame:
+    return links.select(F.col("a").alias("u"), F.col("b").alias("v"))
+
+
 def link_counts(tied: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Stored rows (sig, n_links) of every class that links: all links, from whole sets."""
     size = tied.groupBy("component").agg(F.count("*").alias("m"))
     placed = tied.withColumnRenamed("node", "sig").join(size, "component").join(classes.select("sig", "rep", "n"), "sig")
-    placed = staged(placed, "near-members")
+    placed = staged(placed.withColumnRenamed("component", "group"), "near-members")
     large = placed.filter("m > 2")
-    # a component in blocks by size: all ranks of a component are made in one task, of a few numbers a row
-    rank = F.row_number().over(Window.partitionBy("component").orderBy("n", "sig")) - 1
-    blocked = staged(large.withColumn("block", F.floor(rank / BLOCK_SETS).cast("int")), "near-blocks", light=True)
-    spans = blocked.groupBy("component", "block").agg(F.min("n").alias("low"), F.max("n").alias("high"))
-    one, two = (spans.select("component", F.col("block").alias(x), F.col("low").alias(f"low{x}"), F.col("high").alias(f"high{x}")) for x in ("i", "j"))
-    meet = one.join(two, "component").filter("i <= j AND 4 * highi >= 3 * lowj").select("component", "i", "j")
-    sides = meet.select("component", "i", "j", F.explode(F.array_distinct(F.array("i", "j"))).alias("block"))
-    jobs = blocked.join(sides, ["component", "block"]).select("sig", "component", "i", "j", "block")
-    sets = _sets_of(blocked.select(F.col("rep").alias("doc_id")).distinct(), docs)
+    jobs = _jobs(large.select("group", "sig", "n"), 8 * F.col("n"))
     # a repeated doc_id can bring a set more than once
-    jobs = jobs.join(sets, "sig").groupBy("component", "i", "j", "block", "sig").agg(F.first("grams").alias("grams"))
+    sets = _sets_of(large.select(F.col("rep").alias("doc_id")).distinct(), docs).groupBy("sig").agg(F.first("grams").alias("grams"))
 
     def run(table: pa.Table) -> pa.Table:
-        i, j = table.column("i")[0].as_py(), table.column("j")[0].as_py()
-        block = table.column("block").to_numpy()
-        sigs, grams = table.column("sig").to_numpy(), [np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")]
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        both = _shared_counts([grams[k] for k in left], [grams[k] for k in right])
-        size = np.array([len(g) for g in grams], np.float64)
-        linked = 100 * both >= 75 * (size[left][:, None] + size[right][None, :] - both)
-        if i == j:
-            np.fill_diagonal(linked, False)
-            return pa.table({"sig": sigs[left], "n_links": linked.sum(axis=1).astype(np.int64)})
-        return pa.table({"sig": np.concatenate([sigs[left], sigs[right]]), "n_links": np.concatenate([linked.sum(axis=1), linked.sum(axis=0)]).astype(np.int64)})
-
-    counted = jobs.groupBy("component", "i", "j").applyInArrow(run, "sig bigint, n_links bigint").groupBy("sig").agg(F.sum("n_links").alias("n_links"))
+        sig, grams = table.column("sig").to_numpy(), [np.frombuffer(g.as_py(), np.uint64) for g in table.column("grams")]
+        n, counts = np.array([len(g) for g in grams], np.float64), np.zeros(len(grams), np.int64)
+        for left, right, wanted in _each_job(table):
+            both = _shared_counts([grams[r] for r in left], [grams[r] for r in right])
+            linked = wanted & (100 * both >= 75 * (n[left][:, None] + n[right][None, :] - both))
+            np.add.at(counts, left, linked.sum(axis=1))
+            np.add.at(counts, right, linked.sum(axis=0))
+        return pa.table({"sig": sig, "n_links": counts})
+
+    counted = jobs.select("bucket", "job", "side", "sig").join(sets, "sig").groupBy("bucket").applyInArrow(run, "sig bigint, n_links bigint").groupBy("sig").agg(F.sum("n_links").alias("n_links"))
     return staged(placed.filter("m = 2").select("sig", F.lit(1).cast("long").alias("n_links")).unionByName(counted), "near-degrees", light=True)
 
 
 def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL, count_links: bool = True) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id and, unless not wanted, n_links (all other classes that its class links with)."""
     light, weight = profile(docs)
-    classes = staged(light.filter("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("sketch").alias("sketch"), F.first("wide").alias("wide")), "near-classes")
+    classes = staged(light.filter("sig IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.first("wide").alias("wide")), "near-classes")
     stars = candidate_stars(docs, weight, int(weight.sum()), hot_cell)
-    pairs = staged(_within_bounds(stars.select("a", "b").distinct(), classes), "near-pairs", light=True)
-    links = verified(pairs, docs, classes)
-    tied = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
-
-    # Groups that the stars left in several components: pairs across, but for those with the least class, which are done.
-    large = stars.filter("n > 2")
-    members = large.select("g", F.col("b").alias("m")).join(tied.withColumnRenamed("node", "m"), "m", "left").withColumn("component", F.coalesce("component", "m"))
-    split = members.groupBy("g").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("g")
-    open_ = members.join(split, "g").join(classes.select(F.col("sig").alias("m"), "n", "sketch"), "m")
-    open_ = staged(open_, "near-open")
-    if not open_.isEmpty():
-        one, two = (open_.select("g", F.col("m").alias(x), F.col("component").alias(f"c{x}"), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"s{x}")) for x in "ab")
-        across = one.join(two, "g").filter((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & _sizes_fit() & _sketches_fit()).select("a", "b").distinct()
-        more = verified(staged(_within_bounds(across, classes), "near-pairs", light=True), docs, classes)
-        links = links.unionByName(more)
-        tied = components(links.select(F.col("a").alias("u"), F.col("b").alias("v")))
+    tied = components(_edges(verified(staged(_within_bounds(stars, classes), "near-pairs", light=True), docs, classes)))
+    # What the stars left apart: members of one leader, across components.
+    jobs = _jobs(stars.select(F.col("a").alias("group"), F.col("b").alias("sig")).join(classes.select("sig", "n"), "sig"), F.col("n") / 2 + 64)
+    for closest in (True, False):
+        pairs = _across(jobs, classes, tied, closest)
+        if pairs.isEmpty():
+            break
+        tied = merged(tied, _edges(verified(pairs, docs, classes)))
     named = classes.select("sig", "rep").join(tied.withColumnRenamed("node", "sig"), "sig", "left").withColumn("component", F.coalesce("component", "sig"))
     least = named.groupBy("component").agg(F.min("rep").alias("component_id"))
     of_class = named.join(least, "component").select("sig", "component_id")
@@ -333,8 +413,9 @@ def near_groups(docs: DataFrame, hot_cell: int = HOT_CELL, count_links: bool = T
 def keep_one(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows whose component has a smaller ``doc_id``; rows that repeat the staying id stay once."""
     groups = near_groups(docs, count_links=False).filter(~F.col("doc_id").eqNullSafe(F.col("component_id")))
-    gone = staged(groups.select(F.col("doc_id").alias("__id")).distinct(), "near-gone", light=True)
-    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("__id")), "left_anti")
+    (name,) = free_names(docs, "__id")
+    gone = staged(groups.select(F.col("doc_id").alias(name)).distinct(), "near-gone", light=True)
+    return docs.join(gone, F.col("doc_id").eqNullSafe(F.col(name)), "left_anti")
 
 
 def op9_near_dedup(spark, sf_dir: str) -> DataFrame:

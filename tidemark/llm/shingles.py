@@ -93,21 +93,25 @@ def class_key(shingles: np.ndarray) -> int:
     return int(mix(np.array([total + np.uint64(len(shingles))], np.uint64)).view(np.int64)[0])
 
 
-SHORT = 512
+LEAST_BITS = 512
 
 
-def parity_bits(shingles: np.ndarray, bits: int) -> list[int]:
+def parity_words(shingles: np.ndarray, bits: int) -> np.ndarray:
     """``bits`` parity bits (a power of two) as signed 64-bit words; the Hamming distance of two is at most the symmetric difference.
 
     The XOR of both halves is the sketch of half as many bits.
     """
     at = np.bincount((shingles >> np.uint64(7)).astype(np.int64) & (bits - 1), minlength=bits) & 1
-    return np.packbits(at.astype(np.uint8)).view(np.int64).tolist()
+    return np.packbits(at.astype(np.uint8)).view(np.int64)
+
+
+def parity_bits(shingles: np.ndarray, bits: int) -> list[int]:
+    return parity_words(shingles, bits).tolist()
 
 
 def wide_bits(size: int) -> int:
     """Two to four bits a shingle, so that the distance of unlike sets shows; sets of linked sizes differ by one halving at most."""
-    return max(SHORT, 2 << size.bit_length())
+    return max(LEAST_BITS, 2 << size.bit_length())
 
 
 def bands(size: int) -> list[tuple[int, int]]:
