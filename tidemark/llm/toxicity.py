@@ -1,7 +1,8 @@
 """Toxicity: boosted trees over dense features, calibrated by isotonic regression.
 
 The lexicon is learned: words and word beginnings whose presence in labelled training documents goes with the label
-(log-likelihood ratio, a least share of the toxic documents); each keeps its log-odds as a weight. Features are densities of lexicon words, also of such that are spelled with digits
+(log-likelihood ratio, a least share of the toxic documents; every such word is a candidate, at most 1 / LEAST_SHARE
+times the words and beginnings of a mean toxic document); each keeps its log-odds as a weight. Features are densities of lexicon words, also of such that are spelled with digits
 or symbols, their distance to second-person words, and rates of capitals, punctuation and obfuscated tokens. Labels, lang,
 source and doc_id are no inputs. Learning uses at most ``SAMPLE`` labelled rows, the first by a hash of their id, none of
 the held-out fifth; scoring reads every whole text once, without a shuffle.
@@ -126,7 +127,7 @@ def learn_lexicon(rows: DataFrame) -> dict[str, float]:
     totals = dict(rows.groupBy("y").count().collect())
     n1, n0 = totals.get(1, 0), totals.get(0, 0)
     least = max(LEAST_DOCS, LEAST_SHARE * n1)
-    often = [(r["word"], r["pos"]) for r in _presence(rows).filter(F.col("pos") >= least).orderBy(F.desc("pos"), "word").limit(20_000).collect()]
+    often = [(r["word"], r["pos"]) for r in _presence(rows).filter(F.col("pos") >= least).orderBy(F.desc("pos"), "word").collect()]
     wanted = {w for w, _ in often}
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -178,20 +179,20 @@ def fit(docs: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Model:
     return Model(table, Boosted.fit(x, y), Isotonic(out, y) if len(y) else Isotonic(np.zeros(1), np.zeros(1)))
 
 
-def scored(docs: DataFrame, model: Model) -> DataFrame:
-    """The columns of ``docs`` and ``tox_score``; the text is read whole, the other columns pass through."""
-    if "tox_score" in docs.columns:
-        raise ValueError("the input already has a column tox_score")
+def scored(docs: DataFrame, model: Model, name: str = "tox_score") -> DataFrame:
+    """The columns of ``docs`` and the score under ``name``, which must be free; the text is read whole, the other columns pass through."""
+    if name in docs.columns:
+        raise ValueError(f"the input already has a column {name}")
     names = docs.columns
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = ["" if t is None else t for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(texts), pa.float64())], [*names, "tox_score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.score(texts), pa.float64())], [*names, name])
 
     from pyspark.sql.types import DoubleType, StructType
 
-    return docs.mapInArrow(tidy(run), StructType(list(docs.schema.fields)).add("tox_score", DoubleType()))
+    return docs.mapInArrow(tidy(run), StructType(list(docs.schema.fields)).add(name, DoubleType()))
 
 
 def op4_toxicity(spark, sf_dir: str) -> DataFrame:
