@@ -1,7 +1,7 @@
 """Media columns: texts kept as WAV audio, with spectral-peak fingerprints.
 
 ``to_wav`` writes the UTF-8 bytes of a text, zero-padded to a multiple of 64, as 8-bit mono samples through the wave
-module. ``fingerprints`` opens that stored form, takes a short-time Fourier transform of the samples in blocks of bounded
+module; the query stores them as a Parquet column in the shared folder. ``fingerprints`` opens that stored form, takes a short-time Fourier transform of the samples in blocks of bounded
 size, keeps the strongest peak of each band and frame that stands above its frame's mean, and codes pairs of peaks (bin, bin,
 frames between) with the frame they start at, as two parallel arrays. No shuffle: rows stay where the input files put them.
 
@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tidemark.llm.common import documents, text_of
+from tidemark.llm.common import documents, staged, text_of
 
 UNIT = 64
 RATE = 8000
@@ -127,4 +127,4 @@ NAMES = ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "
 
 
 def op3_media(spark, sf_dir: str) -> DataFrame:
-    return fingerprints(to_wav(documents(spark, sf_dir))).select(*NAMES[:8])
+    return fingerprints(staged(to_wav(documents(spark, sf_dir)), "media"))
