@@ -71,14 +71,15 @@ class Boosted:
 
 
 class Isotonic:
-    """Pool-adjacent-violators on (score, label), smoothed towards the mean by one pseudo-row; linear between blocks."""
+    """Pool-adjacent-violators on (score, label, weight), smoothed towards the mean by one pseudo-row; linear between blocks."""
 
-    def __init__(self, x: np.ndarray, y: np.ndarray):
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray | None = None):
+        weight = np.ones(len(y)) if weight is None else weight
         order = np.argsort(x, kind="stable")
         blocks: list[list[float]] = []  # sum of labels, rows, first, last
-        mean = float(y.mean()) if len(y) else 0.5
-        for v, label in zip(x[order], y[order], strict=True):
-            blocks.append([float(label), 1.0, float(v), float(v)])
+        mean = float(np.average(y, weights=weight)) if len(y) else 0.5
+        for v, label, w in zip(x[order], y[order], weight[order], strict=True):
+            blocks.append([float(label * w), float(w), float(v), float(v)])
             while len(blocks) > 1 and blocks[-2][0] * blocks[-1][1] >= blocks[-1][0] * blocks[-2][1]:
                 s, n, _, last = blocks.pop()
                 blocks[-1] = [blocks[-1][0] + s, blocks[-1][1] + n, blocks[-1][2], last]

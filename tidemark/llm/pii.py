@@ -10,7 +10,9 @@
    kind's checks is negative,
    all others are unlabelled. Counts by feature pattern, a table whose size the features bound, go to the driver, where
    boosted trees are fitted; the trees come back as CASE expressions.
-4. A threshold per kind, the lowest at which weak labels have the wanted precision, selects the spans added to the base ones.
+4. A quarter of the documents, by a hash of their id, is kept from the trees. Their labels calibrate the trees' scores per kind
+   (isotonic), and set the kind's threshold: the lowest score with a calibrated probability of LEAST and the wanted precision above it.
+   A kind with labels of one sort only among them adds nothing. The threshold selects the spans added to the base ones.
 
 Nothing is shuffled but the pattern counts. Texts are read once: spans are stored before the model is fitted.
 
@@ -24,14 +26,16 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.boosting import Boosted
+from tidemark.llm.boosting import Boosted, Isotonic
 from tidemark.llm.common import documents, staged, text_of
 
 KINDS = ("email", "ip", "card", "phone")
 FEATURES = ("kind", "digits", "seps", "groups", "luhn", "paren", "octets", "ctx", "edge")
 PRECISION = 0.98
-#: A candidate is added only above this probability, whatever its kind's threshold.
+#: The least calibrated probability of an added candidate.
 LEAST = 0.9
+#: One in so many documents calibrates and does not teach.
+ASIDE = 4
 #: Feature patterns are products of small ranges; this bound is checked before they go to the driver.
 PATTERNS = 50_000
 
@@ -208,6 +212,17 @@ def _label(c: Column) -> Column:
     return F.when(own, 1).when(_met(c), F.lit(None).cast("int")).when(other | broken | (c["edge"] == 1), 0)
 
 
+def _threshold(raw: np.ndarray, y: np.ndarray, n: np.ndarray) -> float:
+    """The lowest score that is calibrated to LEAST and has the wanted precision at and above it; infinite without any."""
+    if len(set(y.tolist())) < 2:
+        return np.inf
+    levels = np.unique(raw)[::-1]
+    at = np.searchsorted(-levels, -raw)
+    right, total = (np.cumsum(np.bincount(at, w, len(levels))) for w in (n * y, n))
+    good = np.flatnonzero((right >= PRECISION * total) & (Isotonic(raw, y, n)(levels) >= LEAST))
+    return float(levels[good[-1]]) if len(good) else np.inf
+
+
 class SpanModel:
     """Trees over FEATURES and a log-odds threshold per kind."""
 
@@ -216,25 +231,19 @@ class SpanModel:
 
     @classmethod
     def fit(cls, table: DataFrame) -> "SpanModel":
-        labelled = table.select(F.explode(F.transform("proposed", lambda c: F.struct(c.alias("c"), _label(c).alias("y")))).alias("r")).select("r.c.*", "r.y").filter("y IS NOT NULL")
-        counted = labelled.groupBy(*FEATURES, "y").agg(F.count("*").alias("n"))
-        got = counted.orderBy(F.desc("n"), *FEATURES, "y").limit(PATTERNS + 1).collect()
+        aside = (F.pmod(F.xxhash64("doc_id"), F.lit(ASIDE)) == 0).alias("aside")
+        labelled = table.select(aside, F.explode(F.transform("proposed", lambda c: F.struct(c.alias("c"), _label(c).alias("y")))).alias("r")).select("aside", "r.c.*", "r.y").filter("y IS NOT NULL")
+        counted = labelled.groupBy(*FEATURES, "y", "aside").agg(F.count("*").alias("n"))
+        got = counted.orderBy(F.desc("n"), *FEATURES, "y", "aside").limit(PATTERNS + 1).collect()
         if len(got) > PATTERNS:
             raise ValueError("more feature patterns than the features allow")
         x = np.array([[r[f] for f in FEATURES] for r in got], float).reshape(-1, len(FEATURES))
-        y, n = np.array([r["y"] for r in got], float), np.array([r["n"] for r in got], float)
-        if not len(y) or y.min() == y.max():
+        y, n, held = np.array([r["y"] for r in got], float), np.array([r["n"] for r in got], float), np.array([r["aside"] for r in got], bool)
+        if held.all() or len(set(y[~held].tolist())) < 2:
             return cls(None, [])
-        trees = Boosted.fit(x, y, weight=n, trees=30)
-        raw, least = trees.raw(x), []
-        for k in range(len(KINDS)):
-            mine = x[:, 0] == k
-            order = np.argsort(-raw[mine])
-            right, total = np.cumsum((n * y)[mine][order]), np.cumsum(n[mine][order])
-            good = np.flatnonzero(right >= PRECISION * total)
-            floor = float(np.log(LEAST / (1 - LEAST)))
-            least.append(max(floor, float(raw[mine][order][good[-1]])) if len(good) else np.inf)
-        return cls(trees, least)
+        trees = Boosted.fit(x[~held], y[~held], weight=n[~held], trees=30)
+        raw = trees.raw(x)
+        return cls(trees, [_threshold(raw[mine], y[mine], n[mine]) for mine in (held & (x[:, 0] == k) for k in range(len(KINDS)))])
 
     def log_odds(self, c: Column) -> Column:
         """The sum of the trees as an expression over a candidate."""
