@@ -5,7 +5,7 @@ recorded beside it (lang, source, n_chars and which of them are missing). Each v
 binned features. Both start from labelled rows; in each round every unlabelled document that one view is confident of
 becomes a pseudo-label for the other view, whose next Newton step sums over the whole table: the tasks send only the gradient and the
 Hessian, so the driver's share is fixed by the number of features. Last, Platt scaling calibrates the views on labelled
-rows kept aside, a logistic combination joins them, and all documents are scored.
+rows kept aside, a logistic combination, fitted on others kept aside, joins them, and all documents are scored.
 
 At most ``SAMPLE`` labelled rows are used, the first by a hash of their id, none of the held-out fifth.
 
@@ -187,12 +187,12 @@ def fit(table: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Views:
     xt, xm = np.stack(rows["xt"]).astype(float), np.stack(rows["xm"]).astype(int)
     edges = [np.unique(np.quantile(c, np.linspace(0, 1, BINS + 1)[1:-1])) for c in xt.T]
     views = Views(edges, float(y.mean()))
-    aside = np.array([zlib.crc32(f"{i}:aside".encode()) % 5 == 0 for i in rows["doc_id"]])
-    if aside.all() or not aside.any() or y[aside].min() == y[aside].max() or y[~aside].min() == y[~aside].max():
-        aside = np.zeros(len(y), bool)
-    learn, tune = ~aside, aside if aside.any() else ~aside
+    fifth = np.array([zlib.crc32(f"{i}:aside".encode()) % 5 for i in rows["doc_id"]])
+    learn, tune, join = fifth > 1, fifth == 0, fifth == 1
+    if any(len(set(y[part].tolist())) < 2 for part in (learn, tune, join)):  # too few labels to keep any aside
+        learn = tune = join = np.ones(len(y), bool)
     x = views.design(xt, xm)
-    x_learn, x_tune = [m[learn] for m in x], [m[tune] for m in x]
+    x_learn, x_tune, x_join = ([m[part] for m in x] for part in (learn, tune, join))
     views.w = [_newton(m, y[learn]) for m in x_learn]
     views.calibrate(x_tune, y[tune])
     unlabelled = table.join(F.broadcast(chosen), "doc_id", "left_anti")
@@ -203,7 +203,7 @@ def fit(table: DataFrame, marks: DataFrame, sample: int = SAMPLE) -> Views:
             share = min(1.0, learn.sum() / ns[me]) if ns[me] else 0.0  # all pseudo-labels together weigh no more than the labels
             views.w[me] = _step(views.w[me], g + share * gs[me], h + share * hs[me])
         views.calibrate(x_tune, y[tune])
-    views.combine(x_tune, y[tune])
+    views.combine(x_join, y[join])
     return views
 
 
