@@ -3,14 +3,15 @@
 Documents are dealt to ranges of ``doc_id`` and sorted inside each, every task writes shards of bounded size into the
 shared folder, and a small manifest table (a row per shard) gives each shard the number of ids before it. A shard is two
 files. ``.ids``: the magic ``TMID``, the width of an id in bytes, then the raw ids. ``.mph``: a JSON header, then the sorted
-keys, the offsets, the levels of the hash and, by hash slot, a stored fingerprint and the row the key starts at. The
-hash is built level by level: keys that are alone in their bit stay, the others go to the next level, and a key's slot is
-the rank of its bit, so a lookup costs a constant number of reads and no key is compared.
+keys, the offsets, the levels of the hash with a rank every SAMPLE_BITS bits and, by hash slot, a stored fingerprint and the row
+the key starts at. The hash is built level by level: keys that are alone in their bit stay, the others go to the next level, and a
+key's slot is the rank of its bit, so a lookup is a constant number of small reads at computed places, and no key is compared.
 
 Writing is idempotent: names depend on the range and shard alone, a file appears by an atomic rename, and a task that runs
 again writes the same bytes. The folder can be any that ``pyarrow.fs`` opens and executors share.
 
-Defined results: null text is empty (one end id); null ``doc_id`` sorts first, is stored, and is not found by key; repeated
+Defined results: null text is empty (one end id); null ``doc_id`` sorts first, is stored, and is not found by key; ids of a type that is no
+whole number are refused, since keys are hashed as 64-bit numbers; repeated
 rows are stored one after the other in text order, and the key leads to the first; an empty table gives an
 empty result; other columns are ignored.
 """
@@ -23,12 +24,14 @@ import struct
 import zlib
 from bisect import bisect_left
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from tidemark.llm.common import documents, scratch_path, shuffle_partitions, staged, text_of, tidy
 
@@ -36,6 +39,8 @@ MAGIC = b"TMID"
 SHARD_IDS = 8_000_000
 SHARD_DOCS = 200_000
 GAMMA = 1.6
+#: Bits between two stored ranks.
+SAMPLE_BITS = 512
 LEVELS = 48
 
 
@@ -117,38 +122,68 @@ class ShardWriter:
         rows[slot] = np.flatnonzero(known)[first]
         offsets = np.concatenate([[0], np.cumsum(self.lengths, dtype=np.int64)])
         head = json.dumps({"docs": len(keys), "keys": len(distinct), "sizes": mph.sizes, "width": self.width}).encode()
-        parts = [struct.pack("<I", len(head)), head, keys.astype("<i8").tobytes(), known.astype("u1").tobytes(), offsets.astype("<i8").tobytes(), np.packbits(mph.bits).tobytes(), prints.astype("<u4").tobytes(), rows.astype("<u4").tobytes()]
+        ranks = mph.rank[:-1:SAMPLE_BITS]
+        parts = [struct.pack("<I", len(head)), head, keys.astype("<i8").tobytes(), known.astype("u1").tobytes(), offsets.astype("<i8").tobytes(), np.packbits(mph.bits).tobytes(), ranks.astype("<u4").tobytes(), prints.astype("<u4").tobytes(), rows.astype("<u4").tobytes()]
         with self.fs.open_output_stream(self.path + ".mph" + self.attempt) as f:
             f.write(b"".join(parts))
         for kind in (".ids", ".mph"):
             self.fs.move(self.path + kind + self.attempt, self.path + kind)
 
 
+def _sections(head: dict, at: int) -> dict[str, tuple[int, str, int]]:
+    """Where each part of an index file is: (offset, kind, count)."""
+    docs, keys, bits = head["docs"], head["keys"], sum(head["sizes"])
+    out = {}
+    for name, kind, count in (("keys", "<i8", docs), ("known", "u1", docs), ("offsets", "<i8", docs + 1), ("bits", "u1", -(-bits // 8)), ("ranks", "<u4", -(-bits // SAMPLE_BITS)), ("prints", "<u4", keys), ("rows", "<u4", keys)):
+        out[name] = (at, kind, count)
+        at += np.dtype(kind).itemsize * count
+    return out
+
+
 class Shard:
-    """A written shard: constant-time access by key."""
+    """A written shard. ``get`` finds one key by a constant number of small positioned reads; ``find`` reads the index for many."""
 
     def __init__(self, uri: str):
         self.fs, path = _filesystem(uri)
-        with self.fs.open_input_file(path + ".mph") as f:
-            raw = f.read()
-        (n,) = struct.unpack_from("<I", raw)
-        head = json.loads(raw[4 : 4 + n])
-        at = 4 + n
-
-        def take(kind: str, count: int) -> np.ndarray:
-            nonlocal at
-            out = np.frombuffer(raw, kind, count, at)
-            at += out.nbytes
-            return out
-
-        docs, bits = head["docs"], sum(head["sizes"])
-        self.keys, self.known, self.offsets = take("<i8", docs), take("u1", docs).astype(bool), take("<i8", docs + 1)
-        self.mph = PerfectHash(head["sizes"], np.unpackbits(take("u1", (bits + 7) // 8), count=bits).astype(bool))
-        self.prints, self.rows = take("<u4", head["keys"]), take("<u4", head["keys"])
-        self.width, self.payload = head["width"], self.fs.open_input_file(path + ".ids")
+        self.index, self.payload = self.fs.open_input_file(path + ".mph"), self.fs.open_input_file(path + ".ids")
+        (n,) = struct.unpack("<I", self.index.read_at(4, 0))
+        self.head = json.loads(self.index.read_at(n, 4))
+        self.width, self.sections = self.head["width"], _sections(self.head, 4 + n)
         if self.payload.read_at(4, 0) != MAGIC:
             raise ValueError(f"{path}.ids is not an id shard")
 
+    def _read(self, name: str, first: int = 0, count: int | None = None) -> np.ndarray:
+        at, kind, total = self.sections[name]
+        size = np.dtype(kind).itemsize
+        return np.frombuffer(self.index.read_at(size * (total if count is None else min(count, total - first)), at + size * first), kind)
+
+    # The parts that finding all keys at once needs, read when asked for.
+    keys = cached_property(lambda self: self._read("keys"))
+    known = cached_property(lambda self: self._read("known").astype(bool))
+    offsets = cached_property(lambda self: self._read("offsets"))
+    mph = cached_property(lambda self: PerfectHash(self.head["sizes"], np.unpackbits(self._read("bits"), count=sum(self.head["sizes"])).astype(bool)))
+    prints = cached_property(lambda self: self._read("prints"))
+    rows = cached_property(lambda self: self._read("rows"))
+
+    def _slot(self, key: np.ndarray) -> int | None:
+        base = 0
+        for level, size in enumerate(self.head["sizes"]):  # a key leaves each level with a chance that does not depend on their number
+            bit = base + int(_mix(key, level + 1)[0] % np.uint64(size))
+            if self._read("bits", bit // 8, 1)[0] >> (7 - bit % 8) & 1:
+                block = bit // SAMPLE_BITS
+                before = np.unpackbits(self._read("bits", block * SAMPLE_BITS // 8, SAMPLE_BITS // 8))[: bit - block * SAMPLE_BITS]
+                return int(self._read("ranks", block, 1)[0]) + int(before.sum())
+            base += size
+        return None
+
+    def row_of(self, key: int) -> int | None:
+        """The first row of a key; nothing for one whose fingerprint is not the stored one."""
+        keys = np.array([key], np.int64)
+        slot = self._slot(keys)
+        if slot is None or self._read("prints", slot, 1)[0] != (_mix(keys, 99)[0] >> np.uint64(32)).astype(np.uint32):
+            return None
+        return int(self._read("rows", slot, 1)[0])
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The first row of each key, -1 for keys whose fingerprint is not the stored one."""
         slot = self.mph.slots(keys)
@@ -158,12 +193,12 @@ class Shard:
 
     def ids(self, first: int, last: int) -> np.ndarray:
         """The ids of rows first .. last-1, end to end, read from the payload."""
-        a, b = int(self.offsets[first]), int(self.offsets[last])
+        a, b = int(self._read("offsets", first, 1)[0]), int(self._read("offsets", last, 1)[0])
         return np.frombuffer(self.payload.read_at((b - a) * self.width, 8 + a * self.width), f"<u{self.width}").astype("<u4")
 
     def get(self, key: int) -> np.ndarray | None:
-        row = int(self.find(np.array([key], np.int64))[0])
-        return None if row < 0 else self.ids(row, row + 1)
+        row = self.row_of(key)
+        return None if row is None else self.ids(row, row + 1)
 
 
 def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, space_joins: bool = True, root: str | None = None) -> DataFrame:
@@ -172,6 +207,8 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, space_joins:
     Keys ascend over the shards, so a shard's first and last known key (null without any) lead :class:`Store` straight to it.
     """
     spark = docs.sparkSession
+    if not isinstance(docs.schema["doc_id"].dataType, IntegralType):
+        raise TypeError(f"doc_id must be a whole number, not {dict(docs.dtypes)['doc_id']}")
     root = root or scratch_path(spark, "ids")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -200,7 +237,7 @@ def write_store(docs: DataFrame, tokenizer_path: str, end_id: int, space_joins:
         cols = list(zip(*done, strict=True)) or [[]] * 7
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, [pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.int64()], strict=True)], names)
 
-    rows = docs.select("doc_id", text_of().alias("text"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
     dealt = rows.repartitionByRange(shuffle_partitions(spark), F.col("doc_id").asc_nulls_first()).sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "text")
     manifest = staged(dealt.mapInArrow(tidy(write), "part int, shard int, uri string, n_docs bigint, n_ids bigint, first_key bigint, last_key bigint"), "ids-manifest")
     # A row per shard: the only thing summed in one place, about a millionth of the payload.
