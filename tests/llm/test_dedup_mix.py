@@ -105,6 +105,20 @@ def test_mix_edges(spark):
     assert mixing.mixture_plan(df.limit(0)).count() == 0
 
 
+def test_taken_words_are_as_near_their_targets_as_single_draws_allow(spark):
+    """A source's taken words depart from its target by the spread of its documents' draws, and no further."""
+    rnd = random.Random(5)
+    rows = [(i, "w " * rnd.randint(1, 300), f"s{i % 7}" if i % 3 else "s0") for i in range(3000)]
+    plan = mixing.mixture_plan(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
+    for source in {r["source"] for r in plan}:
+        mine = [r for r in plan if r["source"] == source]
+        share = mine[0]["rate"] % 1
+        spread = (share * (1 - share) * sum(r["size"] ** 2 for r in mine)) ** 0.5
+        taken = sum(r["size"] * r["copies"] for r in mine)
+        assert abs(taken - mine[0]["target"]) <= 4 * spread + 1e-6 and abs(taken - mine[0]["target"]) < 0.1 * mine[0]["target"]
+        assert all(int(mine[0]["rate"]) <= r["copies"] <= int(mine[0]["rate"]) + 1 for r in mine)
+
+
 def test_against_sql(spark):
     duckdb = pytest.importorskip("duckdb")
     sf = Path(os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001"))

@@ -4,8 +4,8 @@ Three merges decide which row of a group of equal texts stays, and each compares
 digest alone: (1) equal texts of one input partition collapse before any shuffle (partial aggregation on
 digest, salt and text); (2) the survivors merge per salted digest group; (3) the salt winners merge globally.
 Only digests that hold more than ``1 / HOT_SHARE`` of all rows are salted, so at most ``HOT_SHARE`` of them
-exist, whatever the input: that list is the only thing sent to every task. All other digest groups are
-already whole after merge 2.
+exist, whatever the input: that list is the only thing sent to every task. The share is of the rows there are, so the
+rule is the same at every size; all other digest groups are already whole after merge 2, and salting them would change no result.
 
 Defined results: null text equals empty text; repeated rows (equal ``doc_id`` too) are counted one by one and
 all carry the flag of their ``doc_id``; a null ``doc_id`` never wins against a number and stays only if its group
@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SPACE, staged, text_of
+from tidemark.llm.common import SPACE, free_names, staged, text_of
 
 #: A digest is salted if it holds over 1 / HOT_SHARE of all rows; hence at most HOT_SHARE digests are.
 HOT_SHARE = 200
@@ -79,12 +79,13 @@ def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that stay, all columns; of repeated rows with the winning ``doc_id`` one stays."""
     total = docs.count()
     winners, _ = _winners(_rows(docs, "doc_id", "text", content_digest), total)
-    keep = winners.select(F.col("id").alias("__id"), F.col("sha").alias("__keep"))
-    mine = docs.withColumn("__sha", F.sha2(normalised(text_of()), 256))
-    kept = mine.join(keep, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__sha") == F.col("__keep")), "left_semi")
+    one, best, sha = free_names(docs, "__id", "__keep", "__sha")
+    keep = winners.select(F.col("id").alias(one), F.col("sha").alias(best))
+    mine = docs.withColumn(sha, F.sha2(normalised(text_of()), 256))
+    kept = mine.join(keep, F.col("doc_id").eqNullSafe(F.col(one)) & (F.col(sha) == F.col(best)), "left_semi")
     if docs.select("doc_id").distinct().count() < total:  # only then can a winner's row be there twice
-        kept = kept.dropDuplicates(["doc_id", "__sha"])
-    return kept.drop("__sha")
+        kept = kept.dropDuplicates(["doc_id", sha])
+    return kept.drop(sha)
 
 
 def op6_exact_dedup(spark, sf_dir: str) -> DataFrame:

@@ -12,10 +12,10 @@ further columns are ignored by ``mixture_plan`` and kept by ``emit_copies``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import documents, text_of
+from tidemark.llm.common import documents, free_names, text_of
 
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -46,33 +46,36 @@ def source_targets(sizes: DataFrame) -> DataFrame:
     return level.select("source", "source_size", F.least(F.col("cap").cast("double"), F.col("w") * F.coalesce("lam", F.col("ratio"))).alias("target"))
 
 
-def mixture_plan(docs: DataFrame, seed: int = 0) -> DataFrame:
-    """Per row: doc_id, source, size, source_size, target, copies (how often the mix has it)."""
-    sized = docs.select("doc_id", "source", word_count().alias("size"))
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = source_targets(sizes).withColumnRenamed("source", "__source")
-    if docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        targets = F.broadcast(targets)
-    rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
+def _copies(rate: Column, seed: int) -> Column:
+    """floor(rate), and one more if a hash of ``doc_id`` and the seed, as a number below 1, is under the rate's fraction."""
     digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     draw = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
-    return (
-        sized.join(targets, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
-        .withColumn("rate", rate)
-        .withColumn("copies", F.floor("rate") + F.when(draw < F.col("rate") - F.floor("rate"), 1).otherwise(0))
-    )
+    return (F.floor(rate) + F.when(draw < rate - F.floor(rate), 1).otherwise(0)).cast("long")
+
+
+def _rates(docs: DataFrame) -> DataFrame:
+    """Per source: source, source_size, target, rate; marked for broadcast if the sources are few."""
+    sizes = docs.select("source", word_count().alias("size")).groupBy("source").agg(F.sum("size").alias("source_size"))
+    rates = source_targets(sizes).withColumn("rate", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0)))
+    few = docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
+    return F.broadcast(rates) if few else rates
+
+
+def mixture_plan(docs: DataFrame, seed: int = 0) -> DataFrame:
+    """Per row: doc_id, source, size, source_size, target, rate, copies (how often the mix has it)."""
+    sized = docs.select("doc_id", "source", word_count().alias("size"))
+    rates = _rates(docs).withColumnRenamed("source", "__source")
+    joined = sized.join(rates, F.col("source").eqNullSafe(F.col("__source")), "left").drop("__source")
+    return joined.withColumn("copies", _copies(F.col("rate"), seed))
 
 
 def emit_copies(docs: DataFrame, seed: int = 0) -> DataFrame:
     """The mix itself: every row of ``docs`` as often as its plan says, all columns kept."""
-    plan = mixture_plan(docs, seed).select(F.col("source").alias("__source"), F.col("doc_id").alias("__id"), "rate").groupBy("__source").agg(F.max("rate").alias("__rate"))
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
-    draw = F.conv(F.substring(digest, 1, 12), 16, 10).cast("double") / F.lit(float(1 << 48))
-    if docs.select("source").distinct().limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES:
-        plan = F.broadcast(plan)
-    joined = docs.join(plan, F.col("source").eqNullSafe(F.col("__source")), "left")
-    copies = (F.floor("__rate") + F.when(draw < F.col("__rate") - F.floor("__rate"), 1).otherwise(0)).cast("int")
-    return joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(1), copies))).select(*docs.columns)
+    source, rate, copy = free_names(docs, "__source", "__rate", "__copy")
+    rates = _rates(docs).select(F.col("source").alias(source), F.col("rate").alias(rate))
+    joined = docs.join(rates, F.col("source").eqNullSafe(F.col(source)), "left")
+    times = F.array_repeat(F.lit(1), _copies(F.col(rate), seed).cast("int"))
+    return joined.withColumn(copy, F.explode(times)).drop(source, rate, copy)
 
 
 def op10_mix_sources(spark, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidemark.llm.common import documents, text_of, tidy
 
@@ -158,7 +159,7 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
 
         def table(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*rows, strict=True)) if rows else [[]] * 8
-            kinds = [pa.int64()] * 7 + [pa.binary()]
+            kinds = [key_type, *[pa.int64()] * 6, pa.binary()]
             return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in list(zip(cols, kinds, strict=True))[: 7 + with_ids]], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids"][: 7 + with_ids])
 
         for batch in batches:
@@ -171,7 +172,8 @@ def pack(docs: DataFrame, tokenizer_path: str, end_id: int = 1, window: int = WI
         yield table(list(packer.shard(docs)) if docs else [])
         yield table(list(packer.finish()))
 
-    schema = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids binary" * with_ids
+    key_type = to_arrow_type(docs.schema["doc_id"].dataType)
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint" + ", ids binary" * with_ids
     return docs.select("doc_id", text_of().alias("text")).mapInArrow(tidy(run), schema)
 
 
