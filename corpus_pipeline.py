@@ -11,14 +11,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, mixing, near_dedup, packing, toxicity
-from tidemark.llm.common import documents, labels, staged
+from tidemark.llm.common import documents, free_names, labels, staged
 from tidemark.llm.queries import ship
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that score as toxic go; the model learns from the labels outside the held-out fifth."""
     ship(spark)
-    return toxicity.scored(docs, toxicity.fit(docs, labels(spark, sf_dir))).filter(F.col("tox_score") < 0.5).drop("tox_score")
+    (score,) = free_names(docs, "tox_score")
+    return toxicity.scored(docs, toxicity.fit(docs, labels(spark, sf_dir)), score).filter(F.col(score) < 0.5).drop(score)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
