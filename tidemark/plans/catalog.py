@@ -214,7 +214,8 @@ _SECONDS = "epoch_ms({}) // 1000"
 
 def _timed(spark, sf_dir, kind: str) -> DataFrame:
     e = table(spark, sf_dir, "events").filter(F.col("event_type") == kind)
-    return e.select("user_id", "event_id", "value", F.unix_timestamp(F.col("ts").cast("timestamp")).alias("t"))
+    # seconds of the time rounded to milliseconds, as the SQL's epoch_ms has it
+    return e.select("user_id", "event_id", "value", F.expr("(unix_micros(CAST(ts AS TIMESTAMP)) + 500) DIV 1000 DIV 1000").alias("t"))
 
 
 _VIEWS = f"v AS (SELECT user_id, {_SECONDS.format('ts')} AS t, min(value) AS value FROM events WHERE event_type = 'view' GROUP BY ALL), p AS (SELECT user_id, event_id, {_SECONDS.format('ts')} AS t FROM events WHERE event_type = 'purchase')"
