@@ -6,7 +6,7 @@ counts, which is never in one place (words go by 64-bit hashes to buckets, count
 hidden layer sees the classes of the two words before and the two after a masked position and predicts the class between.
 It is trained in numpy by local gradient descent: in every round each task starts from the common weights, walks over its
 share of the positions of all its documents (every other one of two rounds, where each text starts by a hash), and the weights are averaged
-by the number of positions. Over the rounds every position of every text is a target exactly once. Scoring masks every position of every whole text in turn and sums log-probabilities.
+by the number of positions; so the weights, and by a little the scores, depend on how Spark splits the files. Over the rounds every position of every text is a target exactly once. Scoring masks every position of every whole text in turn and sums log-probabilities.
 
 Defined results: null and blank texts have no words: n_words 0, log_prob 0, mean_log_prob null; null ``doc_id`` and repeated
 rows are scored row by row; without any words the network is never asked; an empty table gives an empty result; other columns

@@ -3,7 +3,7 @@
 Each task cuts its documents into shards of bounded size and builds a BM25 inverted index over whole documents of a shard.
 A document fills full windows alone; what is left of it is a tail. The longest unused tail seeds a window, the
 index ranks unused neighbours by BM25 against the seed's most telling terms, and they fill the window greedily, the last one
-being cut to fit; its rest stays unused. A shard's last, unfilled window passes on to the next shard of the
+being cut to fit; its rest stays unused. Neighbours that share none of these terms score 0 and follow in order of input. A shard's last, unfilled window passes on to the next shard of the
 task; at the end of a task it is cut into sequences whose lengths are powers of two, which need no padding. There is
 no shuffle: rows of any key or source are spread as the input files spread them, and a lost task is made again from its split.
 
