@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from tidemark import schemas, specs
 from tidemark.functions import scalars
 from tidemark.operators import diff, facts, flags, folds, matching, pit, quality
-from tidemark.plans import streams
+from tidemark.plans import jobs, streams
 from tidemark.plans.streams import table
 from tidemark.sources import publish, scans
 from tidemark.streaming import listings
@@ -479,10 +479,12 @@ def _later_splits(spark, sf_dir) -> DataFrame:
     return small.select((F.col("o_custkey") % 100).alias("cik"), F.to_date("o_orderdate").alias("effective_date"), ratio.alias("ratio"))
 
 
-@query(f"""WITH {_FACT_SPANS}, {_RATIOS},
-fd AS (SELECT DISTINCT cik, filed FROM ok), fa AS (SELECT fd.cik, fd.filed, product(sp.ratio) AS factor FROM fd JOIN sp ON sp.cik = fd.cik AND sp.d > fd.filed GROUP BY ALL),
+_PER_SHARE = """fd AS (SELECT DISTINCT cik, filed FROM ok), fa AS (SELECT fd.cik, fd.filed, product(sp.ratio) AS factor FROM fd JOIN sp ON sp.cik = fd.cik AND sp.d > fd.filed GROUP BY ALL),
 b AS (SELECT ok.*, val / coalesce(factor, 1.0) AS dps FROM ok LEFT JOIN fa USING (cik, filed)),
-k AS (SELECT *, row_number() OVER (PARTITION BY cik, start, e ORDER BY i, filed DESC, ord DESC) AS n, max(dps) OVER (PARTITION BY cik, start, e) AS hi, min(dps) OVER (PARTITION BY cik, start, e) AS lo FROM b)
+k AS (SELECT *, row_number() OVER (PARTITION BY cik, start, e ORDER BY i, filed DESC, ord DESC) AS n, max(dps) OVER (PARTITION BY cik, start, e) AS hi, min(dps) OVER (PARTITION BY cik, start, e) AS lo FROM b)"""
+
+
+@query(f"""WITH {_FACT_SPANS}, {_RATIOS}, {_PER_SHARE}
 SELECT cik, CAST(start AS VARCHAR) AS period_start, CAST(e AS VARCHAR) AS period_end, CASE WHEN start IS NULL THEN 'instant' WHEN e - start BETWEEN 70 AND 100 THEN 'quarterly' END AS span_type, dps, i AS tag_no, CAST(filed AS VARCHAR) AS filed,
 CASE WHEN unit = 'pure' THEN 'suspect_unit,' ELSE '' END || CASE WHEN hi > 0 AND (hi - lo) / hi > 0.015 THEN 'restatement_disagreement' ELSE '' END AS flags FROM k WHERE n = 1""")
 def per_share_periods(spark, sf_dir):
@@ -538,25 +540,64 @@ def split_events(spark, sf_dir):
 _SHARE_DAYS = ("1996-06-30", "1997-06-30", "1998-06-30", "1999-06-30", "2000-06-30")
 
 
-@query(f"""WITH {_RATIOS}, q AS (SELECT o_custkey AS cik, CASE WHEN o_orderpriority < '3' AND o_custkey % 3 <> 0 THEN 0 ELSE 1 END AS i, year(o_orderdate) AS y, quarter(o_orderdate) AS q, sum(round(o_totalprice * 100)) AS c FROM orders GROUP BY ALL),
+_CASH = f"""q AS (SELECT o_custkey AS cik, CASE WHEN o_orderpriority < '3' AND o_custkey % 3 <> 0 THEN 0 ELSE 1 END AS i, year(o_orderdate) AS y, quarter(o_orderdate) AS q, sum(round(o_totalprice * 100)) AS c FROM orders GROUP BY ALL),
 t AS (SELECT cik, i, y, q, sum(c) OVER (PARTITION BY cik, i, y ORDER BY q) AS ytd, make_date(y, 1, 1) AS s, CAST(make_date(y, q * 3, 1) + INTERVAL 1 MONTH AS DATE) - 1 AS e FROM q),
 d AS (SELECT cik, i, coalesce(lag(e) OVER w + 1, s) AS ps, e AS pe, ytd - coalesce(lag(ytd) OVER w, 0) AS v FROM t WINDOW w AS (PARTITION BY cik, i, y ORDER BY q)),
 k AS (SELECT *, CASE WHEN pe - ps BETWEEN 25 AND 35 THEN 'monthly' WHEN pe - ps BETWEEN 70 AND 100 THEN 'quarterly' WHEN pe - ps BETWEEN 150 AND 200 THEN 'semiannual' END AS span FROM d),
 sh AS (SELECT c_custkey AS cik, unnest([{", ".join(f"DATE '{d}'" for d in _SHARE_DAYS)}]) AS e, unnest([1.0, 2.0, 9.0, 8.0, 1.0]) * (1 + c_custkey % 3) AS val FROM customer),
 m AS (SELECT k.*, sh.e AS at, sh.val, row_number() OVER (PARTITION BY k.cik, i, ps, pe ORDER BY abs(sh.e - pe), sh.e) AS n FROM k JOIN sh ON sh.cik = k.cik AND abs(sh.e - pe) <= 180 WHERE span IS NOT NULL),
-f AS (SELECT m.*, (SELECT product(sp.ratio) FROM sp WHERE sp.cik = m.cik AND sp.d > m.at) AS factor FROM m WHERE n = 1)
-SELECT cik, CAST(ps AS VARCHAR) AS period_start, CAST(pe AS VARCHAR) AS period_end, span AS span_type, greatest(v, 0) / val / coalesce(factor, 1.0) AS dps, CAST(i AS INT) AS tag_no FROM f QUALIFY i = min(i) OVER (PARTITION BY cik)""")
+f AS (SELECT m.*, (SELECT product(sp.ratio) FROM sp WHERE sp.cik = m.cik AND sp.d > m.at) AS factor FROM m WHERE n = 1),
+cash AS (SELECT cik, ps, pe, span, greatest(v, 0) / val / coalesce(factor, 1.0) AS dps, CAST(i AS INT) AS tag_no FROM f QUALIFY i = min(i) OVER (PARTITION BY cik))"""
+
+
+@query(f"WITH {_RATIOS}, {_CASH} SELECT cik, CAST(ps AS VARCHAR) AS period_start, CAST(pe AS VARCHAR) AS period_end, span AS span_type, dps, tag_no FROM cash")
 def cash_per_share(spark, sf_dir):
     """Approximate per-share records: yearly running totals of two tags over the nearest share count, on today's basis; one tag per company."""
+    found = facts.cash_fallback(_cash_facts(spark, sf_dir), _share_counts(spark, sf_dir), _later_splits(spark, sf_dir))
+    index = F.array_position(F.array(*[F.lit(t) for t in specs.CASH_TAGS]), F.col("source_tag")) - 1
+    return found.select("cik", day("period_start"), day("period_end"), "span_type", "dps", index.cast("int").alias("tag_no"))
+
+
+_CASH_FACTS = _CASH.replace("f AS (SELECT m.*", "cf AS (SELECT m.*").replace("FROM f QUALIFY", "FROM cf QUALIFY")  # the name f is taken
+
+
+@query(f"""WITH {_FACT_SPANS}, {_RATIOS}, {_PER_SHARE.replace("k AS (", "ks AS (")}, {_CASH_FACTS},
+p AS (SELECT cik, start AS ps, e AS pe, CASE WHEN start IS NULL THEN 'instant' ELSE 'quarterly' END AS span, dps FROM ks WHERE n = 1)
+SELECT cik, CAST(ps AS VARCHAR) AS period_start, CAST(pe AS VARCHAR) AS period_end, span AS span_type, dps, FALSE AS approximate FROM p
+UNION ALL SELECT cik, CAST(ps AS VARCHAR), CAST(pe AS VARCHAR), span, dps, TRUE FROM cash c
+WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.cik = c.cik AND date_diff('day', greatest(c.ps, coalesce(p.ps, p.pe)), least(c.pe, p.pe)) + 1 >= 20)""")
+def dividend_records(spark, sf_dir):
+    """Per-share records, and cash records for the stretches that they do not cover."""
+    both = _quarter_facts(spark, sf_dir).unionByName(_cash_facts(spark, sf_dir))
+    found = facts.dividends(both, _share_counts(spark, sf_dir), _later_splits(spark, sf_dir))
+    return found.select("cik", day("period_start"), day("period_end"), "span_type", "dps", "approximate")
+
+
+def _cash_facts(spark, sf_dir) -> DataFrame:
+    """A customer's orders as cash paid since the first of January, per quarter and tag."""
     tag_no = F.when((F.col("o_orderpriority") < "3") & (F.col("o_custkey") % 3 != 0), 0).otherwise(1)
     orders = table(spark, sf_dir, "orders")
     q = orders.groupBy(F.col("o_custkey").alias("cik"), tag_no.alias("i"), F.year("o_orderdate").alias("y"), F.quarter("o_orderdate").alias("q")).agg(F.sum(F.round(F.col("o_totalprice") * 100)).alias("c"))
     total = F.sum("c").over(Window.partitionBy("cik", "i", "y").orderBy("q").rowsBetween(Window.unboundedPreceding, 0))
     end = F.last_day(F.make_date("y", F.col("q") * 3, F.lit(1)))
-    paid = q.select("cik", F.element_at(F.array(*[F.lit(t) for t in specs.CASH_TAGS]), F.col("i") + 1).alias("tag"), F.lit("USD").alias("unit"), F.lit(0).cast("bigint").alias("ord"), F.make_date("y", F.lit(1), F.lit(1)).alias("start"), end.alias("end"), total.alias("val"), end.alias("filed"))
-    found = facts.cash_fallback(paid, _share_counts(spark, sf_dir), _later_splits(spark, sf_dir))
-    index = F.array_position(F.array(*[F.lit(t) for t in specs.CASH_TAGS]), F.col("source_tag")) - 1
-    return found.select("cik", day("period_start"), day("period_end"), "span_type", "dps", index.cast("int").alias("tag_no"))
+    return q.select("cik", F.element_at(F.array(*[F.lit(t) for t in specs.CASH_TAGS]), F.col("i") + 1).alias("tag"), F.lit("USD").alias("unit"), F.lit(0).cast("bigint").alias("ord"), F.make_date("y", F.lit(1), F.lit(1)).alias("start"), end.alias("end"), total.alias("val"), end.alias("filed"))
+
+
+@query("""WITH k AS (SELECT c_custkey AS cik, upper(replace(c_name, '#', '.')) AS ticker FROM customer), d AS (SELECT DISTINCT o_custkey AS cik FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT s_suppkey * 7 AS cik FROM supplier)
+SELECT ticker, CASE WHEN cik IN (SELECT cik FROM b) THEN 'failed' WHEN cik IN (SELECT cik FROM d) THEN 'ok' ELSE 'not_found' END AS status FROM k""")
+def fetch_outcomes(spark, sf_dir):
+    """Customers as asked symbols, those with finished orders as landed documents, some numbers as failed downloads."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.upper(F.regexp_replace("c_name", "#", ".")).alias("ticker"))
+    landed = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("cik"))
+    failed = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 7).alias("cik"))
+    return jobs.fetch_outcomes(c.select("ticker"), c, landed, failed)
+
+
+@query("""SELECT c_custkey AS custkey, CASE WHEN c_custkey % 3 = 0 THEN 'old' ELSE 'customer' END || chr(31) || '{"custkey":' || c_custkey || CASE WHEN c_custkey % 3 = 0 THEN ',"segment":"' || c_mktsegment || '"' ELSE '' END || '}' AS entity FROM customer""")
+def event_entities(spark, sf_dir):
+    """What an event is about: the key of a known source, the whole record of a retired one."""
+    c = table(spark, sf_dir, "customer").select(F.when(F.col("c_custkey") % 3 == 0, "old").otherwise("customer").alias("source"), F.struct(F.col("c_custkey").alias("custkey"), F.col("c_mktsegment").alias("segment")).alias("record"))
+    return c.select("record.custkey", diff.entity_key(F.col("source"), F.col("record"), {"customer": ["custkey"]}).alias("entity"))
 
 
 # --- scans, flags and policy ---------------------------------------------------------------------------------------
