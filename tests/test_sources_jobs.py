@@ -219,7 +219,7 @@ def test_outcomes_come_from_downloads(spark, tmp_path):
     lookup = spark.createDataFrame([("A", 1), ("B", 2), ("C", 3)], "ticker string, cik bigint")
     docs = spark.read.schema(schemas.COMPANY_FACTS).option("multiLine", True).json(cli._documents(tmp_path / "f"))
     failed = spark.createDataFrame([(c,) for c in cli._failed(tmp_path / "f")], "cik bigint")
-    outcomes = jobs.fetch_outcomes(asked, matching.resolve_symbols(asked, lookup), docs, failed)
+    outcomes = jobs.fetch_outcomes(matching.resolve_symbols(asked, lookup), docs, failed)
     assert {r["ticker"]: r["status"] for r in outcomes.collect()} == {"A": "ok", "B": "not_found", "C": "failed"}
     with pytest.raises(RefusalError):
         jobs.corporate_actions(spark, tmp_path, asked, lookup, docs, outcomes)

@@ -586,11 +586,11 @@ def _cash_facts(spark, sf_dir) -> DataFrame:
 @query("""WITH k AS (SELECT c_custkey AS cik, upper(replace(c_name, '#', '.')) AS ticker FROM customer), d AS (SELECT DISTINCT o_custkey AS cik FROM orders WHERE o_orderstatus = 'F'), b AS (SELECT s_suppkey * 7 AS cik FROM supplier)
 SELECT ticker, CASE WHEN cik IN (SELECT cik FROM b) THEN 'failed' WHEN cik IN (SELECT cik FROM d) THEN 'ok' ELSE 'not_found' END AS status FROM k""")
 def fetch_outcomes(spark, sf_dir):
-    """Customers as asked symbols, those with finished orders as landed documents, some numbers as failed downloads."""
+    """Customers as resolved symbols, those with finished orders as landed documents, some numbers as failed downloads."""
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("cik"), F.upper(F.regexp_replace("c_name", "#", ".")).alias("ticker"))
     landed = table(spark, sf_dir, "orders").filter("o_orderstatus = 'F'").select(F.col("o_custkey").alias("cik"))
     failed = table(spark, sf_dir, "supplier").select((F.col("s_suppkey") * 7).alias("cik"))
-    return jobs.fetch_outcomes(c.select("ticker"), c, landed, failed)
+    return jobs.fetch_outcomes(c, landed, failed)
 
 
 @query("""SELECT c_custkey AS custkey, CASE WHEN c_custkey % 3 = 0 THEN 'old' ELSE 'customer' END || chr(31) || '{"custkey":' || c_custkey || CASE WHEN c_custkey % 3 = 0 THEN ',"segment":"' || c_mktsegment || '"' ELSE '' END || '}' AS entity FROM customer""")

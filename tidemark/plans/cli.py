@@ -123,7 +123,7 @@ def main(argv: list[str] | None = None, fetcher=None) -> int:
             lookup = publish.read_verified(spark, current, "sec_company_tickers.jsonl", specs.SOURCES["sec_company_tickers"].schema)
             documents = spark.read.schema(schemas.COMPANY_FACTS).option("multiLine", True).json(_documents(args.landed))
             failed = spark.createDataFrame([(c,) for c in _failed(args.landed)], "cik bigint")
-            outcomes = jobs.fetch_outcomes(asked, matching.resolve_symbols(asked, lookup), documents, failed)
+            outcomes = jobs.fetch_outcomes(matching.resolve_symbols(asked, lookup), documents, failed)
             print(jobs.corporate_actions(spark, data, asked, lookup, documents, outcomes))
         return 0
     except RefusalError as e:

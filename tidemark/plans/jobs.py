@@ -168,7 +168,7 @@ def corporate_actions(spark: SparkSession, data: Path, asked: DataFrame, lookup:
     return {"splits": n, "dividends": sum(parts.values())}
 
 
-def fetch_outcomes(asked: DataFrame, resolved: DataFrame, documents: DataFrame, failed: DataFrame) -> DataFrame:
+def fetch_outcomes(resolved: DataFrame, documents: DataFrame, failed: DataFrame) -> DataFrame:
     """(ticker, status) of the resolved symbols: failed as told, not_found without a landed document, else ok."""
     landed = documents.select(F.col("cik").cast("bigint").alias("cik")).distinct().withColumn("__there", F.lit(True))
     broken = failed.select(F.col("cik").cast("bigint").alias("cik")).distinct().withColumn("__broken", F.lit(True))
