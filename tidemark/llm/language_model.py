@@ -43,7 +43,17 @@ _BLANKS = bytes(32 if 9 <= b <= 13 else b for b in range(256))
 
 
 def _hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    return S.words_of([t.encode().translate(_BLANKS) for t in texts])
+    """A hash of every word of all texts, and per text the number of its first word, and the end; made from a bounded part of the texts at a time."""
+    words, edges, held, size = [np.zeros(0, np.uint64)], [np.zeros(1, np.int64)], [], 0
+    for i, t in enumerate(texts):
+        held.append(t.encode().translate(_BLANKS))
+        size += len(held[-1])
+        if size >= S.CHUNK or i + 1 == len(texts):
+            w, e = S.words_of(held)
+            words.append(w)
+            edges.append(edges[-1][-1] + e[1:])
+            held, size = [], 0
+    return np.concatenate(words), np.concatenate(edges)
 
 
 def _chunks(docs: DataFrame) -> DataFrame:
