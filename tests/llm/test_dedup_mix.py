@@ -7,7 +7,7 @@ from brute import exact, near, near_links
 from pyspark.sql import functions as F
 
 from tidemark.llm import exact_dedup, mixing, near_dedup, shingles
-from tidemark.llm.components import components
+from tidemark.llm.components import components, merged
 
 ROWS = [(3, "a  b"), (1, "a\tb"), (2, "A b"), (2, "A b"), (7, None), (8, ""), (None, ""), (None, "lone"), (9, "x " * 30000), (5, "a b "), (6, "é b")]
 SCHEMA = "doc_id long, text string, dig string, body string, source string, sig int, n int, lang string, n_chars long"
@@ -94,6 +94,31 @@ def test_components(spark):
     assert all(got[n] == (0 if n < 10 or 20 <= n < 30 or n == 100 else n // 10 * 10) for n in got) and len(got) == 41
 
 
+def plain_components(edges):
+    least = {}
+
+    def find(x):
+        least.setdefault(x, x)
+        while least[x] != x:
+            x = least[x]
+        return x
+
+    for u, v in edges:
+        if u != v:
+            a, b = find(u), find(v)
+            least[max(a, b)] = min(a, b)
+    return {x: find(x) for x in least}
+
+
+def test_components_with_a_hub_and_later_edges(spark):
+    rnd = random.Random(4)
+    edges = [(rnd.randrange(900), rnd.randrange(900)) for _ in range(300)] + [(5, rnd.randrange(900)) for _ in range(200)] + [(i, i + 1) for i in range(850, 890)]
+    later = [(rnd.randrange(960), rnd.randrange(960)) for _ in range(60)]
+    first = components(spark.createDataFrame(edges, "u long, v long"))
+    assert sorted(map(tuple, first.collect())) == sorted(plain_components(edges).items())
+    assert sorted(map(tuple, merged(first, spark.createDataFrame(later, "u long, v long")).collect())) == sorted(plain_components(edges + later).items())
+
+
 def test_mix_edges(spark):
     rows = [(1, "a b c", "s1"), (2, None, "s1"), (3, "d", None), (None, "e f", "s2"), (5, "", "s3"), (5, "g h i j", "s2")]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("size", F.lit("clash"))
