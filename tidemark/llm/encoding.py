@@ -25,8 +25,8 @@ from tokenizers import Tokenizer  # noqa: E402
 #: Strings that one Python worker remembers per generation, pieces and words apart; there are two generations of each.
 MEMO_PIECES, MEMO_WORDS = 50_000, 100_000
 #: Bytes of texts laid end to end; lines of the cache; ids that a line holds.
-GROUP_BYTES = 1 << 20
-LINE_BITS, LINE_IDS = 21, 8
+GROUP_BYTES = 1 << 19
+LINE_BITS, LINE_IDS = 20, 8
 
 _CUT = "\x01"
 #: What the cuts must not meet: their own mark, runs of the punctuation they cut before, and empty lines.
@@ -70,7 +70,7 @@ class _Lines:
 
     def hashes(self, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         if len(self.up) <= len(raw):
-            size = max(2 * GROUP_BYTES, len(raw) + 1)
+            size = max(GROUP_BYTES * 5 // 4, len(raw) + 1)
             self.up, self.down = _powers(_BASE, size), _powers(pow(_BASE, -1, 1 << 64), size)
         with np.errstate(over="ignore"):
             total = np.zeros(len(raw) + 1, np.uint64)

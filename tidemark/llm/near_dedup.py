@@ -44,7 +44,7 @@ CELLS = 1 << 18
 #: A cell counted more often than this is not dealt to a bucket (12 bytes an entry).
 HOT_CELL = 4_000_000
 ENTRIES_PER_BUCKET = 250_000
-FLUSH = 600_000
+FLUSH = 300_000
 #: Texts whose sets a task holds at once.
 SLICE = 500
 #: Up to this many representatives, their ids are broadcast; beyond it, texts and ids join by shuffle.
@@ -52,7 +52,7 @@ BROADCAST_IDS = 2_000_000
 #: Sets that are compared with as many others in one job, shingles that a product takes at a time, and bytes of a task's jobs.
 BLOCK_SETS = 256
 BLOCK_GRAMS = 8192
-TASK_BYTES = 16 << 20
+TASK_BYTES = 8 << 20
 #: Words of parity bits that are compared at once.
 SPAN_WORDS = 1 << 20
 #: Groups cut into blocks are broadcast up to this number; beyond it, their members meet them by shuffle.

@@ -18,7 +18,7 @@ _shipped: set[str] = set()
 
 
 #: Rows and bytes of a batch between Spark and its Python workers: whole texts are long, and two tasks share an executor.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20)}
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
 
 
 def ship(spark: SparkSession) -> None:

@@ -10,7 +10,7 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _BYTE = np.random.default_rng(11).integers(1, 1 << 63, 256, dtype=np.uint64)
 _BYTE[32] = 0
 _PLACE = np.random.default_rng(12).integers(1, 1 << 63, WORDS, dtype=np.uint64) | np.uint64(1)
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def mix(z: np.ndarray) -> np.ndarray:
