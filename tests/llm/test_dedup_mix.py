@@ -2,6 +2,7 @@ import os
 import random
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
 from brute import exact, near, near_links
 from pyspark.sql import functions as F
@@ -75,6 +76,31 @@ def test_links_of_families(spark, monkeypatch, block):
     assert sorted(got, key=key) == sorted(near_links(rows), key=key)
 
 
+def edited(family, copies, least, most, words, rnd):
+    """Near copies of one text, which itself is not among them."""
+    base = [f"f{family}w{rnd.randrange(5000)}" for _ in range(words)]
+    for _ in range(copies):
+        text = list(base)
+        for _ in range(rnd.randint(least, most)):
+            text[rnd.randrange(len(text))] = f"e{rnd.randrange(10**6)}"
+        yield " ".join(text)
+
+
+def test_sketches_allow_every_link_of_a_block():
+    """Sketch words with the highest bit set are negative numbers; their bits count like all others."""
+    rnd = random.Random(8)
+    sets = shingles.shingle_sets([t for family in range(6) for t in edited(family, 12, 2, 5, 60 + 90 * family, rnd)])
+    number = list(range(len(sets)))
+    wide = [shingles.parity_bits(s, shingles.wide_bits(len(s))) for s in sets]
+    assert any(w < 0 for x in wide for w in x)
+    table = pa.table({"sig": number, "n": [len(s) for s in sets], "component": number, "wide": pa.array(wide, pa.list_(pa.int64())), "job": [1] * len(sets), "side": [2] * len(sets)})
+    plain = [set(s.tolist()) for s in sets]
+    links = {(i, j) for j in number for i in range(j) if 100 * len(plain[i] & plain[j]) >= 75 * len(plain[i] | plain[j])}
+    for closest in (True, False):  # each set is a component of its own, so the closest are all
+        found = near_dedup._sketch_pairs(table, closest)
+        assert len(links) > 100 and links <= set(zip(found["a"].to_pylist(), found["b"].to_pylist(), strict=True))
+
+
 def test_keep_one_and_empty(spark):
     kept = near_dedup.keep_one(frame(spark, NEAR[:60]))
     assert sorted(r["doc_id"] for r in kept.select("doc_id").collect()) == sorted({c for _, _, c in near(NEAR[:60])})

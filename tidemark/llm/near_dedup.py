@@ -313,7 +313,7 @@ def _sketch_pairs(table: pa.Table, closest: bool) -> pa.Table:
     """Pairs (a, b) across components whose parity bits allow a link; of each two components in a job on demand only the closest."""
     sig, n, component = (table.column(c).to_numpy() for c in ("sig", "n", "component"))
     wide = table.column("wide").combine_chunks()
-    ends, words = wide.offsets.to_numpy(), wide.values.to_numpy()
+    ends, words = wide.offsets.to_numpy(), wide.values.to_numpy().view(np.uint64)  # bitwise_count takes a signed word by its absolute value
     size = np.diff(ends)
     found = [np.zeros((0, 2), np.int64)]
     for left, right, wanted in _each_job(table):
